@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
@@ -68,18 +70,17 @@ def asof_join(
         *named_keys,
         quoted(row_time).alias("__t"),
         F.struct(*[quoted(c).alias(c) for c in rows.columns]).alias("__row"),
-    ).withColumn("__spread", _spread())
-
-    unmatched = F.coalesce(*[F.when(F.col(c).isNull(), F.col("__spread")) for c in [*ks, "__t"]])
+    )
     times = asked.select(*ks, "__t").dropna().unionByName(known.select(*ks, "__t"))
     heavy = heavy_keys(times, ks, policy)
     if heavy:
         cuts = _cuts(times, ks, heavy, policy)
-        asked = _place(asked, cuts, ks)
+        asked = _place(asked.withColumn("__spread", _spread()), cuts, ks)
         known = _slice_features(known, key_table(times, ks, heavy), cuts, ks)
     else:
         asked, known = (d.withColumn("__slice", F.lit(0)) for d in (asked, known))
-    asked = asked.withColumn("__slice", F.coalesce(unmatched, F.col("__slice")))
+    unmatched = reduce(or_, [F.col(c).isNull() for c in [*ks, "__t"]])
+    asked = asked.withColumn("__slice", F.when(unmatched, _spread()).otherwise(F.col("__slice")))
 
     line = known.select(*ks, "__slice", "__t", HIT).unionByName(
         asked.select(*ks, "__slice", "__t", "__row"), allowMissingColumns=True
@@ -101,8 +102,8 @@ def _spread() -> Column:
 
 
 def _cuts(times: DataFrame, ks: Sequence[str], heavy: Sequence[Row], policy: SkewPolicy) -> DataFrame:
-    """Table ``keys, __slice, from_t, from_s, to_t, to_s`` of all slices but
-    those before the first cut start open; NULL means no bound.
+    """Table ``keys, __slice, from_t, from_s, to_t, to_s`` of all slices. The
+    first slice of a key has no lower bound, the last one no upper: NULL.
 
     One aggregation over the heavy keys reads their quantiles. The number
     of rows is bounded by the policy.
@@ -113,7 +114,7 @@ def _cuts(times: DataFrame, ks: Sequence[str], heavy: Sequence[Row], policy: Ske
     quantiles = (
         only_heavy(times, table, ks)
         .groupBy(*ks)
-        .agg(F.percentile_approx(wire(F.col("__t")), points, 10_000).alias("q"))
+        .agg(F.percentile_approx(wire(F.col("__t")), points, 16 * policy.max_slices).alias("q"))
         .collect()
     )
     sizes = {tuple(r[k] for k in ks): r[COUNT] for r in heavy}

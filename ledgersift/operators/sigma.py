@@ -47,18 +47,20 @@ def sigma_report_bounds(df: DataFrame, column: str, k: float = 3.0, floor: float
     return found.select(F.struct(lower.alias("lower"), F.col("b.upper").alias("upper"))).scalar()
 
 
+def is_outside(value: Column, limits: Column) -> Column:
+    return (value > limits["upper"]) | (value < limits["lower"])
+
+
 def sigma_outliers(df: DataFrame, column: str, k: float = 3.0, floor: float | None = 0.0) -> DataFrame:
     """Rows strictly outside the report bounds."""
     limits = sigma_report_bounds(df, column, k, floor)
-    value = without_nan(quoted(column))
-    return df.filter((value > limits["upper"]) | (value < limits["lower"]))
+    return df.filter(is_outside(without_nan(quoted(column)), limits))
 
 
 def sigma_summary(df: DataFrame, column: str, k: float = 3.0, floor: float | None = 0.0) -> DataFrame:
     """One row: ``lower``, ``upper``, ``outliers``, ``rows``, ``share``."""
     limits = sigma_report_bounds(df, column, k, floor)
-    value = without_nan(quoted(column))
-    outside = (value > limits["upper"]) | (value < limits["lower"])
+    outside = is_outside(without_nan(quoted(column)), limits)
     counted = df.agg(F.count_if(outside).alias("outliers"), F.count(F.lit(1)).alias("rows"))
     return counted.select(
         limits["lower"].alias("lower"),

@@ -90,7 +90,12 @@ def clean_report(df: DataFrame, order: Sequence[str] = SIGMA_FIRST, k: float = 3
     ]
     for step in order:
         if step == "sigma":
-            stats = per_key.filter(kept).agg(bounds(F.col(AMOUNT), k).alias("b")).scalar()
+            # The totals are asked for here too, although only the bounds are
+            # read: with the same columns on both sides Spark shares the
+            # shuffled counts between them.
+            amounts = bounds(F.when(kept, F.col(AMOUNT)), k)
+            totals = [F.sum(n) for n in ("n_input", "n_complete", "n_distinct")]
+            stats = per_key.agg(F.struct(amounts.alias("b"), *totals).alias("s")).scalar()["b"]
             inside = F.col(AMOUNT).between(stats["lower"], stats["upper"])
             kept = kept & (stats["upper"].isNull() | inside)
         else:

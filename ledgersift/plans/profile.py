@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import is_float, quoted, without_nan
 from ..operators.checks import standard_checks, with_clock_skew
 from ..operators.dedupe import duplicate_counts
-from ..operators.sigma import sigma_summary
+from ..operators.sigma import is_outside, sigma_report_bounds
 
 KEY = "transaction_id"
 AMOUNT = "tx_amount"
@@ -34,16 +34,12 @@ def reused(df: DataFrame):
 def profile(df: DataFrame, as_of: Column | None = None, top: int = 10) -> DataFrame:
     """Table ``check``, ``metric``, ``value``.
 
-    Four scans, however many numbers: the row checks and statistics, the
-    outliers (which need the statistics first), the duplicates, and the
-    value counts.
+    Five scans, however many numbers: the three-sigma bounds, all row
+    checks and statistics, the duplicates, the value counts, and the
+    distinct counts.
     """
-    parts = [
-        _scalars(df, as_of),
-        _tall(sigma_summary(df, AMOUNT).select("lower", "upper", "outliers", "share"), "outliers"),
-        _tall(duplicate_counts(df, KEY).select("surplus_rows", "repeated_keys"), "duplicates"),
-        _values(df, top),
-    ]
+    duplicates = duplicate_counts(df, KEY).select("surplus_rows", "repeated_keys")
+    parts = [_scalars(df, as_of), _tall(duplicates, "duplicates"), *_values(df, top)]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -53,23 +49,18 @@ def _tall(one: DataFrame, check: str) -> DataFrame:
 
 
 def _lines(one: DataFrame, names: list[tuple[str, str, str]]) -> DataFrame:
-    lines = [
-        F.struct(
-            F.lit(check).alias("check"),
-            F.lit(metric).alias("metric"),
-            quoted(column).cast("double").alias("value"),
-        )
-        for check, metric, column in names
-    ]
-    return one.select(F.inline(F.array(*lines)))
+    """A one-row table as lines ``check, metric, value``, given as triples
+    of check, metric and column."""
+    lines = ", ".join(f"'{check}', '{metric}', CAST(`{column}` AS DOUBLE)" for check, metric, column in names)
+    return one.selectExpr(f"stack({len(names)}, {lines}) AS (check, metric, value)")
 
 
 def _scalars(df: DataFrame, as_of: Column | None) -> DataFrame:
     amount = without_nan(quoted(AMOUNT))
     wanted: list[tuple[str, str, Column]] = [("table", "rows", F.count(F.lit(1)))]
-    wanted += [("nulls", c, F.count_if(quoted(c).isNull())) for c in df.columns]
+    wanted += [("nulls", c, F.expr(f"count_if(`{c}` IS NULL)")) for c in df.columns]
     floats = [f.name for f in df.schema if is_float(f.dataType)]
-    wanted += [("nan", c, F.count_if(F.isnan(quoted(c)))) for c in floats]
+    wanted += [("nan", c, F.expr(f"count_if(isnan(`{c}`))")) for c in floats]
     wanted += [("checks", name, F.count_if(test)) for name, test in standard_checks(as_of).items()]
     wanted += [
         (AMOUNT, "mean", F.avg(amount)),
@@ -79,32 +70,31 @@ def _scalars(df: DataFrame, as_of: Column | None) -> DataFrame:
         (DAYS, "min", F.min(quoted(DAYS))),
         (DAYS, "max", F.max(quoted(DAYS))),
     ]
+    limits = sigma_report_bounds(df, AMOUNT)
+    wanted.append(("outliers", "outliers", F.count_if(is_outside(amount, limits))))
     one = df.agg(*[agg.alias(f"m{i}") for i, (_, _, agg) in enumerate(wanted)])
-    return _lines(one, [(check, metric, f"m{i}") for i, (check, metric, _) in enumerate(wanted)])
+    one = one.select(
+        "*",
+        limits["lower"].alias("lower"),
+        limits["upper"].alias("upper"),
+        F.try_divide(F.col(f"m{len(wanted) - 1}"), F.col("m0")).alias("share"),
+    )
+    names = [(check, metric, f"m{i}") for i, (check, metric, _) in enumerate(wanted)]
+    return _lines(one, [*names, *[("outliers", n, n) for n in ("lower", "upper", "share")]])
 
 
-def _values(df: DataFrame, top: int) -> DataFrame:
-    """Distinct counts, value counts and the commonest clock differences.
+def _values(df: DataFrame, top: int) -> list[DataFrame]:
+    """Value counts, the commonest clock differences, distinct counts.
 
-    All are counts per value, so one scan with grouping sets gives them.
+    The few values of the small columns are counted jointly in one scan.
+    Each single count is a sum over that result, whose shuffle is shared.
     """
-    columns = [*COUNTED, SKEW]
-    counts = (
-        with_clock_skew(df)
-        .groupingSets([[c] for c in columns], *columns)
-        .agg(F.grouping_id().alias("set"), F.count(F.lit(1)).alias("count"), *[quoted(c) for c in columns])
-    )
-    # A set's bit is 0 for the column it groups by, the first column highest.
-    full = 2 ** len(columns) - 1
-    of = {c: F.col("set") == full - 2 ** (len(columns) - 1 - i) for i, c in enumerate(columns)}
-
-    distinct = counts.agg(*[F.count_if(of[c] & quoted(c).isNotNull()).alias(c) for c in COUNTED])
-    parts = [_tall(distinct, "distinct")]
-    for c in LISTED:
-        parts.append(_count_lines(counts.filter(of[c]), c))
-    commonest = counts.filter(of[SKEW]).orderBy(F.col("count").desc(), SKEW).limit(top)
-    parts.append(_count_lines(commonest, SKEW))
-    return reduce(DataFrame.unionByName, parts)
+    keys = [*LISTED, SKEW]
+    joint = with_clock_skew(df).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+    single = {k: joint.groupBy(k).agg(F.sum("count").alias("count")) for k in keys}
+    single[SKEW] = single[SKEW].orderBy(F.col("count").desc(), SKEW).limit(top)
+    distinct = df.agg(*[F.count_distinct(quoted(c)).alias(c) for c in COUNTED])
+    return [*[_count_lines(single[k], k) for k in keys], _tall(distinct, "distinct")]
 
 
 def _count_lines(counts: DataFrame, column: str) -> DataFrame:

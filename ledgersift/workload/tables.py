@@ -6,64 +6,63 @@ the event number: wrong values in place, and further copies of some rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import pin_timezone
-from ..sources.transactions import TRANSACTION_COLUMNS
 
 NTZ = "timestamp_ntz"
 
-# The origin of tx_time_seconds and the defect rules.
-ORIGIN_SECONDS = 1704067200  # 2024-01-01 00:00:00
-DAY_SECONDS = 86400
-COPY_RULES = {"full": 50, "earlier": 41, "later": 43, "tie": 47}
+# The copy rules, name and condition.
+COPY_RULES = {
+    "full": "event_id % 50 = 0",
+    "earlier": "event_id % 41 = 0",
+    "later": "event_id % 43 = 0",
+    "tie": "event_id % 47 = 0",
+}
+# The origin of tx_time_seconds is 2024-01-01 00:00:00.
+ORIGIN_SECONDS = 1704067200
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_timezone(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
-
-
 def tx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions with defects, from one scan of ``events``.
 
     Each event is repeated once per copy rule that applies to it; the name
     of the rule then decides what the copy changes.
     """
-    events = table(spark, sf_dir, "events")
-    rules = [F.lit("base"), *[F.when(_every(n), F.lit(rule)) for rule, n in COPY_RULES.items()]]
-    rows = events.withColumn("copy", F.explode(F.array_compact(F.array(*rules))))
-    copy = F.col("copy")
-
-    at = F.date_trunc("second", "ts").cast(NTZ)
-    since = F.unix_timestamp(at) - ORIGIN_SECONDS
-    error = F.col("event_type") == "error"
-    amount = (
-        F.when(F.col("user_id") == 0, F.col("value") * 50)
-        .when(_every(89), -F.col("value"))
-        .when(_every(83), F.lit(0.0))
-        .otherwise(F.col("value"))
+    applied = ", ".join(f"CASE WHEN {test} THEN '{rule}' END" for rule, test in COPY_RULES.items())
+    return (
+        table(spark, sf_dir, "events")
+        .selectExpr(
+            "*",
+            "CAST(date_trunc('second', ts) AS TIMESTAMP_NTZ) AS at",
+            """CASE WHEN user_id = 0 THEN value * 50
+                    WHEN event_id % 89 = 0 THEN -value
+                    WHEN event_id % 83 = 0 THEN 0D
+                    ELSE value END AS amount""",
+            f"explode(array_compact(array('base', {applied}))) AS copy",
+        )
+        .selectExpr("*", f"unix_timestamp(at) - {ORIGIN_SECONDS} AS since", "event_type = 'error' AS error")
+        .selectExpr(
+            "event_id AS transaction_id",
+            """CASE copy WHEN 'earlier' THEN at - INTERVAL 1 HOUR
+                         WHEN 'later' THEN at + INTERVAL 1 HOUR
+                         ELSE at END AS tx_datetime""",
+            "user_id AS customer_id",
+            "CASE WHEN event_id % 97 <> 0 THEN event_id % 500 END AS terminal_id",
+            """CASE copy WHEN 'earlier' THEN -abs(amount) - 1
+                         WHEN 'tie' THEN abs(amount) + 5
+                         ELSE amount END AS tx_amount""",
+            "since + IF(event_id % 103 = 0, 60, 0) AS tx_time_seconds",
+            "CAST(floor(since / 86400D) AS INT) AS tx_time_days",
+            "IF(error, 1, 0) AS tx_fraud",
+            """CASE WHEN error THEN CAST(1 + event_id % 3 AS INT)
+                    WHEN event_id % 101 = 0 THEN 2 ELSE 0 END AS tx_fraud_scenario""",
+        )
     )
-    hour = F.expr("INTERVAL 1 HOUR")
-    columns = {
-        "transaction_id": F.col("event_id"),
-        "tx_datetime": F.when(copy == "earlier", at - hour).when(copy == "later", at + hour).otherwise(at),
-        "customer_id": F.col("user_id"),
-        "terminal_id": F.when(_every(97), F.lit(None)).otherwise(F.col("event_id") % 500),
-        "tx_amount": F.when(copy == "earlier", -F.abs(amount) - 1)
-        .when(copy == "tie", F.abs(amount) + 5)
-        .otherwise(amount),
-        "tx_time_seconds": since + F.when(_every(103), 60).otherwise(0),
-        "tx_time_days": F.floor(since / F.lit(float(DAY_SECONDS))).cast("int"),
-        "tx_fraud": F.when(error, 1).otherwise(0),
-        "tx_fraud_scenario": F.when(error, (1 + F.col("event_id") % 3).cast("int"))
-        .when(_every(101), 2)
-        .otherwise(0),
-    }
-    return rows.select(*[columns[c].alias(c) for c in TRANSACTION_COLUMNS])
 
 
 def driver_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,9 @@ class Source:
     """A table of feature rows: a Parquet path, or a DataFrame.
 
     ``created`` names the column that decides between rows of one key and
-    time; without it, or when it is equal, the remaining columns decide.
+    time. Where it is equal, or not given, the columns in ``ties`` decide,
+    all remaining ones by default, so that every request picks the same
+    row. A wide source whose rows differ in time reads less with ``ties=()``.
     """
 
     name: str
@@ -28,6 +30,12 @@ class Source:
     path: str | None = None
     table: DataFrame | None = None
     created: str | None = None
+    ties: tuple[str, ...] | None = None
+
+    def tie_breakers(self, table: DataFrame, keys: Sequence[str]) -> list[str]:
+        first = [self.created] if self.created else []
+        rest = table.columns if self.ties is None else self.ties
+        return list(dict.fromkeys(c for c in [*first, *rest] if c not in (*keys, self.timestamp)))
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.table is not None:

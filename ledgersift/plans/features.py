@@ -11,7 +11,7 @@ from ..functions.columns import quoted
 from ..operators.asof import HIT, asof_join, within_ttl
 from ..operators.heavy import DEFAULT_POLICY, SkewPolicy
 from ..operators.lookup import lookup_join
-from .feature_model import Catalog, FeatureView, OnDemandView, Source, column_name
+from .feature_model import Catalog, FeatureView, OnDemandView, column_name
 
 FOUND_AT = "__found_at"
 
@@ -39,16 +39,9 @@ def get_historical(
     for (_, keys), views in groups.items():
         source = views[0].source
         columns = list(dict.fromkeys(c for v in views for c in fetch[v.name]))
-        found = asof_join(
-            out,
-            source.read(rows.sparkSession),
-            keys,
-            row_time,
-            source.timestamp,
-            columns,
-            [source.created] if source.created else [],
-            policy,
-        )
+        table = source.read(rows.sparkSession)
+        ties = source.tie_breakers(table, keys)
+        found = asof_join(out, table, keys, row_time, source.timestamp, columns, ties, policy)
         features = {}
         for view in views:
             valid = within_ttl(quoted(row_time), F.col(f"{HIT}.time"), view.ttl)
@@ -68,9 +61,14 @@ def materialize(view: FeatureView, start: datetime | Column, end: datetime | Col
     source = view.source
     time = quoted(source.timestamp)
     low, high = (b if isinstance(b, Column) else F.lit(b) for b in (start, end))
-    rows = source.read(spark).filter(time.between(low, high))
-    newest = rows.groupBy(*[quoted(k) for k in view.entity.join_keys]).agg(
-        F.max(_comparable(source, view.schema.names)).alias(HIT)
+    table = source.read(spark)
+    # The struct sorts by time, then by what decides between equal times.
+    rest = dict.fromkeys([*source.tie_breakers(table, view.entity.join_keys), *view.schema.names])
+    row = F.struct(time.alias("time"), *[quoted(c).alias(c) for c in rest if c != source.timestamp])
+    newest = (
+        table.filter(time.between(low, high))
+        .groupBy(*[quoted(k) for k in view.entity.join_keys])
+        .agg(F.max(row).alias(HIT))
     )
     values = [
         F.col(HIT)["time" if f.name == source.timestamp else f.name].cast(f.dataType).alias(f.name)
@@ -79,14 +77,6 @@ def materialize(view: FeatureView, start: datetime | Column, end: datetime | Col
     return newest.select(*[quoted(k) for k in view.entity.join_keys], *values, F.col(f"{HIT}.time").alias(FOUND_AT))
 
 
-def _comparable(source: Source, columns: Sequence[str]) -> Column:
-    """Struct that sorts by time, then creation time, then the features."""
-    rest = dict.fromkeys([*([source.created] if source.created else []), *columns])
-    return F.struct(
-        quoted(source.timestamp).alias("time"), *[quoted(c).alias(c) for c in rest if c != source.timestamp]
-    )
-
-
 def write_snapshot(view: FeatureView, start, end, path: str, spark: SparkSession) -> None:
     """The materialized view as Parquet, in place of an earlier one."""
     materialize(view, start, end, spark).write.mode("overwrite").parquet(path)

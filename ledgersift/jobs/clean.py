@@ -21,8 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from ledgersift.plans.clean import CUSTOMER_FIRST, SIGMA_FIRST, clean, clean_report
-from ledgersift.session import build_session, pin_timezone
-from ledgersift.sources.files import select_files
+from ledgersift.session import build_session, pin_timezone, size_shuffles
+from ledgersift.sources.files import select_files, total_bytes
 from ledgersift.sources.transactions import default_output, read_transactions, write_clean
 
 log = logging.getLogger("ledgersift.clean")
@@ -60,6 +60,7 @@ def run(
     pin_timezone(spark)
     output_path = output_path or default_output(input_path)
     paths = select_files(spark, input_path, files) if files is not None else input_path
+    size_shuffles(spark, total_bytes(spark, paths))
     raw = read_transactions(spark, paths, infer=infer)
     rows_in = raw.count()
     if rows_in == 0:

@@ -105,27 +105,35 @@ def _cuts(times: DataFrame, ks: Sequence[str], heavy: Sequence[Row], policy: Ske
     """Table ``keys, __slice, from_t, from_s, to_t, to_s`` of all slices. The
     first slice of a key has no lower bound, the last one no upper: NULL.
 
-    One aggregation over the heavy keys reads their quantiles. The number
-    of rows is bounded by the policy.
+    One aggregation over the heavy keys reads their quantiles. What is
+    collected, one time per slice, is bounded by the policy.
     """
-    table = key_table(times, ks, heavy)
+    total = sum(row[COUNT] for row in heavy)
+    wanted = []
+    for row in heavy:
+        fair = 1 + policy.all_slices * row[COUNT] // total
+        wanted.append(min(policy.max_slices, fair, -(-row[COUNT] // max(1, policy.heavy_rows // 2))))
+    table = key_table(times, ks, heavy, wanted, "__n").filter("__n > 1")
+
     points = [i / policy.max_slices for i in range(1, policy.max_slices)]
     wire, back = _wire(times.schema["__t"].dataType)
+    quantile = F.percentile_approx(wire(F.col("__t")), points, 16 * policy.max_slices)
+    ends = F.transform(
+        F.sequence(F.lit(1), F.col("__n") - 1),
+        lambda j: F.element_at("q", F.floor(policy.max_slices * j / F.col("__n")).cast("int")),
+    )
     quantiles = (
         only_heavy(times, table, ks)
         .groupBy(*ks)
-        .agg(F.percentile_approx(wire(F.col("__t")), points, 16 * policy.max_slices).alias("q"))
+        .agg(quantile.alias("q"))
+        .join(F.broadcast(table), list(ks))
+        .select(*ks, ends.alias("at"))
         .collect()
     )
-    sizes = {tuple(r[k] for k in ks): r[COUNT] for r in heavy}
-    total = sum(sizes.values())
     slices = []
     for row in quantiles:
         key = tuple(row[k] for k in ks)
-        fair = 1 + policy.all_slices * sizes[key] // total
-        n = max(1, min(policy.max_slices, fair, -(-sizes[key] // max(1, policy.heavy_rows // 2))))
-        at = [row.q[policy.max_slices * j // n - 1] for j in range(1, n)]
-        ends = [(None, None), *_distinct_places(at), (None, None)]
+        ends = [(None, None), *_distinct_places(row["at"]), (None, None)]
         slices += [(*key, i, *ends[i], *ends[i + 1]) for i in range(len(ends) - 1)]
     raw = times.select("__t").select(wire(F.col("__t")).alias("t")).schema["t"].dataType
     schema = T.StructType(

@@ -31,9 +31,9 @@ class SkewPolicy:
     """
 
     heavy_rows: int = 2_000_000
-    max_keys: int = 1024
-    max_slices: int = 256
-    all_slices: int = 4096
+    max_keys: int = 4096
+    max_slices: int = 512
+    all_slices: int = 8192
     enabled: bool = True
 
 
@@ -58,10 +58,21 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_
     )
 
 
-def key_table(df: DataFrame, keys: Sequence[str], heavy: Sequence[Row]) -> DataFrame:
-    """The heavy keys as a table, of at most ``max_keys`` rows."""
-    schema = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys])
-    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in heavy], schema)
+def key_table(
+    df: DataFrame,
+    keys: Sequence[str],
+    heavy: Sequence[Row],
+    numbers: Sequence[int] | None = None,
+    alias: str = "",
+) -> DataFrame:
+    """The heavy keys as a table, of at most ``max_keys`` rows, with a number
+    for each if given."""
+    fields = [T.StructField(k, df.schema[k].dataType) for k in keys]
+    rows = [tuple(r[k] for k in keys) for r in heavy]
+    if numbers is not None:
+        fields.append(T.StructField(alias, T.IntegerType()))
+        rows = [(*row, n) for row, n in zip(rows, numbers)]
+    return df.sparkSession.createDataFrame(rows, T.StructType(fields))
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

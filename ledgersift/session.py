@@ -28,6 +28,20 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 * 2**20) -> int:
+    """Raise the number of shuffle partitions to fit the input.
+
+    Rows of the input pass through the shuffle once, so its bytes set how
+    many partitions keep each within a task's memory. Adaptive execution
+    joins those that turn out small. A higher setting is left alone.
+    """
+    wanted = min(100_000, -(-input_bytes // partition_bytes))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)
+
+
 def pin_timezone(spark: SparkSession) -> SparkSession:
     """Epoch seconds, hours and days are read in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -49,3 +51,12 @@ def select_files(
     else:
         raise ValueError(f"unknown file limit: {text!r}")
     return sorted(row.path for row in chosen.select("path").collect())
+
+
+def total_bytes(spark: SparkSession, paths: str | Sequence[str]) -> int:
+    """Size of the files, from their listing alone."""
+    wanted = [paths] if isinstance(paths, str) else list(paths)
+    if not wanted:
+        return 0
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(wanted)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]

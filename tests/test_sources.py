@@ -2,7 +2,8 @@ from datetime import datetime
 
 import pytest
 
-from ledgersift.sources.files import list_entries, select_files
+from ledgersift.session import size_shuffles
+from ledgersift.sources.files import list_entries, select_files, total_bytes
 from ledgersift.sources.transactions import (
     TRANSACTION_COLUMNS,
     default_output,
@@ -103,3 +104,23 @@ def test_overwrite_and_partitions(spark, tmp_path, folder):
     write_clean(df, out, ["tx_time_days", "tx_fraud"])
     back = spark.read.parquet(out)
     assert ids(back) == [3, 4, 5] and set(back.columns) == set(TRANSACTION_COLUMNS)
+
+
+def test_names_with_spaces(spark, tmp_path):
+    for name in ("a b.txt", "c%20d.txt", "e+f.txt"):
+        (tmp_path / name).write_text(LINE.format(n=1, d=1))
+    found = select_files(spark, str(tmp_path), "all")
+    assert [f.rsplit("/", 1)[1] for f in found] == ["a b.txt", "c%20d.txt", "e+f.txt"]
+    assert read_transactions(spark, found).count() == 3
+
+
+def test_shuffles_are_sized_by_the_input(spark, folder):
+    assert total_bytes(spark, f"{folder}/*.txt") == 3 * (len(LINE.format(n=1, d=1)) + len("# id | time | ...\n"))
+    assert total_bytes(spark, []) == 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 1000) == int(before)
+        assert size_shuffles(spark, 100, partition_bytes=2) == 50
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

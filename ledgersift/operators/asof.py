@@ -15,6 +15,10 @@ counts, and each slice starts with a seed, the newest feature before it:
   that all parts of the plan, and tasks run again, see the same cuts.
 
 Rows with a NULL key or time match nothing and are spread over the slices.
+
+Features no row can find are left out before the shuffle: those later than
+all rows, too old for all rows, and, when the rows have few distinct keys,
+those of other keys. The times become filters of the scan.
 """
 
 from __future__ import annotations
@@ -27,7 +31,16 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from ..functions.columns import quoted
-from .heavy import COUNT, DEFAULT_POLICY, SkewPolicy, heavy_keys, key_table, only_heavy, without_heavy
+from .heavy import (
+    COUNT,
+    DEFAULT_POLICY,
+    SkewPolicy,
+    distinct_keys,
+    heavy_keys,
+    key_table,
+    only_heavy,
+    without_heavy,
+)
 
 HIT = "__hit"
 SPREAD = 256
@@ -50,9 +63,11 @@ def asof_join(
     columns: Sequence[str],
     tie_breakers: Sequence[str] = (),
     policy: SkewPolicy = DEFAULT_POLICY,
+    max_age: timedelta | None = None,
 ) -> DataFrame:
     """All columns of ``rows`` and a struct ``__hit``: the time and ``columns``
     of the newest feature row with ``feature_time <= row_time``, or NULL.
+    One older than ``max_age`` does not count.
 
     Of feature rows at one instant the greatest counts, compared by
     ``tie_breakers`` and then by the remaining columns.
@@ -71,6 +86,8 @@ def asof_join(
         quoted(row_time).alias("__t"),
         F.struct(*[quoted(c).alias(c) for c in rows.columns]).alias("__row"),
     )
+    if policy.enabled:
+        known = _within_reach(known, asked, ks, max_age, policy)
     times = asked.select(*ks, "__t").dropna().unionByName(known.select(*ks, "__t"))
     heavy = heavy_keys(times, ks, policy)
     if heavy:
@@ -92,7 +109,34 @@ def asof_join(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     carried = line.withColumn(HIT, F.last(HIT, ignorenulls=True).over(so_far))
-    return carried.filter(F.col("__row").isNotNull()).select("__row.*", HIT)
+    found = carried.filter(F.col("__row").isNotNull())
+    if max_age:
+        found = found.withColumn(HIT, F.when(within_ttl(F.col("__t"), F.col(f"{HIT}.time"), max_age), F.col(HIT)))
+    return found.select("__row.*", HIT)
+
+
+def _within_reach(
+    known: DataFrame, asked: DataFrame, ks: Sequence[str], max_age: timedelta | None, policy: SkewPolicy
+) -> DataFrame:
+    """The features some row may find, by the extent of the rows.
+
+    One aggregation over keys and times of the rows. Its one result row
+    also proves how large the broadcast of the keys would be.
+    """
+    wire, back = _wire(asked.schema["__t"].dataType)
+    t = F.col("__t")
+    per_key = asked.select(*ks, "__t").dropna().groupBy(*ks).agg(F.min(t).alias("first"), F.max(t).alias("last"))
+    extent = per_key.agg(
+        F.count(F.lit(1)).alias("keys"), wire(F.min("first")).alias("first"), wire(F.max("last")).alias("last")
+    ).first()
+    if extent["keys"] == 0:
+        return known.filter(F.lit(False))
+    known = known.filter(t <= back(F.lit(extent["last"])))
+    if max_age:
+        known = known.filter(t >= back(F.lit(extent["first"])) - F.lit(max_age))
+    if extent["keys"] <= policy.few_keys:
+        known = known.join(F.broadcast(distinct_keys(asked, ks)), list(ks), "left_semi")
+    return known
 
 
 def _spread() -> Column:

@@ -27,13 +27,15 @@ class SkewPolicy:
     ``max_keys``    how many keys may be treated as heavy
     ``max_slices``  slices of one heavy key
     ``all_slices``  slices of all heavy keys together, a few more at most
-    ``enabled``     False skips the counting pass
+    ``few_keys``    up to so many distinct keys are broadcast as a filter
+    ``enabled``     False skips the counting passes
     """
 
     heavy_rows: int = 2_000_000
     max_keys: int = 4096
     max_slices: int = 512
     all_slices: int = 8192
+    few_keys: int = 100_000
     enabled: bool = True
 
 
@@ -58,6 +60,17 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_
     )
 
 
+def has_few_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> bool:
+    """Whether the distinct keys of ``df`` are few enough to broadcast, by count."""
+    if not policy.enabled:
+        return False
+    return distinct_keys(df, keys).count() <= policy.few_keys
+
+
+def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.select(*[quoted(k) for k in keys]).dropna().distinct()
+
+
 def key_table(
     df: DataFrame,
     keys: Sequence[str],

@@ -7,7 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import quoted
-from .heavy import DEFAULT_POLICY, SkewPolicy, heavy_keys, key_table, only_heavy, without_heavy
+from .heavy import (
+    DEFAULT_POLICY,
+    SkewPolicy,
+    distinct_keys,
+    has_few_keys,
+    heavy_keys,
+    key_table,
+    only_heavy,
+    without_heavy,
+)
 
 
 def lookup_join(
@@ -15,14 +24,24 @@ def lookup_join(
     table: DataFrame,
     keys: Sequence[str],
     policy: SkewPolicy = DEFAULT_POLICY,
+    same_keys: bool = False,
 ) -> DataFrame:
     """``rows`` left join ``table`` on ``keys``; ``table`` has one row per key.
 
-    Rows of heavy keys are not shuffled: their part of ``table`` is at
-    most one row per heavy key, so it is broadcast. All other rows take
-    the ordinary join, for which Spark picks the strategy by size.
+    With few distinct keys in ``rows``, only those of ``table`` are kept,
+    at most one row each, and broadcast: nothing is shuffled, and a large
+    table is not sorted for a handful of rows. ``same_keys`` says that
+    ``table`` holds no other keys anyway.
+
+    With many keys, rows of heavy keys still meet a broadcast part of
+    ``table``, at most one row per heavy key. All others take the ordinary
+    join, for which Spark picks the strategy by size.
     """
     keys = list(keys)
+    if has_few_keys(rows, keys, policy):
+        if not same_keys:
+            table = table.join(F.broadcast(distinct_keys(rows, keys)), keys, "left_semi")
+        return rows.join(F.broadcast(table), keys, "left")
     heavy = heavy_keys(rows, keys, policy)
     if not heavy:
         return rows.join(table, keys, "left")
@@ -45,4 +64,5 @@ def with_group_max(
     would hold a whole group in one task.
     """
     top = df.groupBy(*[quoted(k) for k in keys]).agg(F.max(quoted(column)).alias(alias))
-    return lookup_join(df, top, keys, policy).select(*[quoted(c) for c in df.columns], quoted(alias))
+    joined = lookup_join(df, top, keys, policy, same_keys=True)
+    return joined.select(*[quoted(c) for c in df.columns], quoted(alias))

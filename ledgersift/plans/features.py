@@ -41,7 +41,8 @@ def get_historical(
         columns = list(dict.fromkeys(c for v in views for c in fetch[v.name]))
         table = source.read(rows.sparkSession)
         ties = source.tie_breakers(table, keys)
-        found = asof_join(out, table, keys, row_time, source.timestamp, columns, ties, policy)
+        oldest = max(v.ttl for v in views) if all(v.ttl for v in views) else None
+        found = asof_join(out, table, keys, row_time, source.timestamp, columns, ties, policy, oldest)
         features = {}
         for view in views:
             valid = within_ttl(quoted(row_time), F.col(f"{HIT}.time"), view.ttl)

@@ -11,6 +11,7 @@ from ledgersift.operators.heavy import SkewPolicy
 
 WHOLE = SkewPolicy(enabled=False)
 SLICED = SkewPolicy(heavy_rows=20, max_keys=3, max_slices=16, all_slices=40)
+MANY_KEYS = SkewPolicy(heavy_rows=20, max_keys=3, max_slices=16, few_keys=2)
 START = datetime(2024, 3, 30)
 
 
@@ -45,10 +46,10 @@ def brute(rows, features):
     return sorted(out, key=str)
 
 
-def joined(spark, rows, features, policy, kind="timestamp_ntz"):
+def joined(spark, rows, features, policy, kind="timestamp_ntz", max_age=None):
     left = spark.createDataFrame(rows, f"id int, k int, t {kind}").repartition(5)
     right = spark.createDataFrame(features, f"k int, ft {kind}, c int, v double").repartition(4)
-    return asof_join(left, right, ["k"], "t", "ft", ["v"], ["c"], policy)
+    return asof_join(left, right, ["k"], "t", "ft", ["v"], ["c"], policy, max_age)
 
 
 def result(df):
@@ -56,7 +57,7 @@ def result(df):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("policy", [WHOLE, SLICED], ids=["whole", "sliced"])
+@pytest.mark.parametrize("policy", [WHOLE, SLICED, MANY_KEYS], ids=["whole", "sliced", "many"])
 def test_equals_brute_force(spark, seed, policy):
     rows, features = made(seed)
     assert result(joined(spark, rows, features, policy)) == brute(rows, features)
@@ -122,3 +123,29 @@ def test_nothing_on_either_side(spark):
     rows, features = made(6, n=60)
     assert result(joined(spark, [], features, SLICED)) == []
     assert result(joined(spark, rows, [], SLICED)) == brute(rows, [])
+
+
+@pytest.mark.parametrize("policy", [WHOLE, SLICED, MANY_KEYS, SkewPolicy()], ids=["whole", "sliced", "many", "usual"])
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_max_age(spark, policy, kind):
+    rows, features = made(7, n=500)
+    rows, age = rows[:60], timedelta(hours=2)
+    by_row = {r[0]: r[2] for r in rows}
+    expected = [
+        (n, *((t, c, v) if t is not None and t >= by_row[n] - age else (None, None, None)))
+        for n, t, c, v in brute(rows, features)
+    ]
+    assert result(joined(spark, rows, features, policy, kind, age)) == sorted(expected, key=str)
+
+
+def test_features_out_of_reach_are_not_shuffled(spark, tmp_path):
+    day = timedelta(days=1)
+    facts = [(k, START + d * day, float(d)) for k in range(20) for d in range(20)]
+    path = str(tmp_path / "facts")
+    spark.createDataFrame(facts, "k int, ft timestamp_ntz, v double").write.parquet(path)
+    rows = spark.createDataFrame([(3, START + 10 * day), (4, START + 11 * day)], "k int, t timestamp_ntz")
+    df = asof_join(rows, spark.read.parquet(path), ["k"], "t", "ft", ["v"], max_age=2 * day)
+    assert sorted(r[HIT].v for r in df.collect()) == [10.0, 11.0]
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(ft,2024-04-10" in text and "GreaterThanOrEqual(ft,2024-04-07" in text
+    assert "LeftSemi, BuildRight" in text

@@ -170,7 +170,16 @@ def test_heavy_keys_are_found_and_bounded(spark):
     assert heavy_keys(df, ["k"], SkewPolicy(heavy_rows=1, enabled=False)) == []
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(heavy_rows=10), SkewPolicy(heavy_rows=1)])
+@pytest.mark.parametrize(
+    "policy",
+    [
+        SkewPolicy(),
+        SkewPolicy(enabled=False),
+        SkewPolicy(few_keys=3),
+        SkewPolicy(few_keys=3, heavy_rows=10),
+        SkewPolicy(few_keys=3, heavy_rows=1),
+    ],
+)
 def test_lookup_join_equals_left_join(spark, policy):
     rng = random.Random(4)
     rows = [(i, 7 if i % 3 == 0 else rng.choice([None, *range(12)])) for i in range(400)]

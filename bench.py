@@ -43,6 +43,13 @@ def measure(run, times: int) -> float:
     return round(statistics.median(seconds), 3)
 
 
+def count_jobs(spark, name: str, run) -> int:
+    """How many Spark jobs one run starts."""
+    spark.sparkContext.setJobGroup(name, name)
+    run()
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -70,12 +77,16 @@ def main() -> None:
         "value": round(sum(queries.values()), 3),
         "unit": "sec",
         "queries": queries,
+        "jobs": {name: count_jobs(spark, name, rows(name)) for name in HEADLINE},
         "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
     }
     if "--plain" in sys.argv:
         from bench_plain import PLAIN
 
         result["plain"] = {n: measure(lambda: fn(spark, folder), times) for n, fn in PLAIN.items()}
+        result["plain_jobs"] = {
+            n: count_jobs(spark, f"plain_{n}", lambda: fn(spark, folder)) for n, fn in PLAIN.items()
+        }
     print(json.dumps(result), flush=True)
     spark.stop()
 

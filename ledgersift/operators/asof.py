@@ -67,7 +67,8 @@ def asof_join(
 ) -> DataFrame:
     """All columns of ``rows`` and a struct ``__hit``: the time and ``columns``
     of the newest feature row with ``feature_time <= row_time``, or NULL.
-    One older than ``max_age`` does not count.
+    One older than ``max_age`` does not count. Unless the policy is off, ``rows``
+    are read for their extent first and must be the same when read again.
 
     Of feature rows at one instant the greatest counts, compared by
     ``tie_breakers`` and then by the remaining columns.

@@ -1,8 +1,13 @@
 import os
 import sys
+import time
 
 import pytest
 
+# Python datetimes in the tests mean UTC, as the sessions do.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ledgersift.session import build_session  # noqa: E402

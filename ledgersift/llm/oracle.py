@@ -41,3 +41,79 @@ SELECT conv_id, count(*) AS n_turns,
     CAST(sum(15 + length(replace(role_e, chr(10), '\' || chr(10))) + length(text_e)) AS BIGINT) AS formatted_chars
 FROM escaped GROUP BY conv_id
 """
+
+ORACLE["op5_substring_dedup"] = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), starts AS (
+    SELECT doc_id, w, unnest(range(len(w) - 49)) AS k FROM words WHERE len(w) >= 50
+), windows AS (
+    SELECT doc_id, k, md5(array_to_string(list_slice(w, k + 1, k + 50), ' ')) AS h FROM starts
+), firsts AS (
+    SELECT h, min(doc_id) AS lowest FROM windows GROUP BY h HAVING count(*) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, k + j AS k
+    FROM windows JOIN firsts USING (h), unnest(range(50)) AS u(j) WHERE lowest < doc_id
+), flat AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS k FROM words
+), marked AS (
+    SELECT flat.*, gone.k IS NOT NULL AS out FROM flat LEFT JOIN gone USING (doc_id, k)
+), kept AS (
+    SELECT doc_id, count(*) AS n_words, count(*) FILTER (out) AS n_removed,
+           coalesce(string_agg(word, ' ' ORDER BY k) FILTER (NOT out), '') AS left_over
+    FROM marked GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(left_over, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE["op10_suffix_dedup"] = r"""
+WITH texts AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), starts AS (
+    SELECT doc_id, x, unnest(range(length(x) // 2 - 399)) AS k FROM texts WHERE length(x) >= 800
+), windows AS (
+    SELECT doc_id, k, md5(substr(x, 2 * k + 1, 800)) AS h FROM starts
+), twice AS (
+    SELECT h FROM windows GROUP BY h HAVING count(*) > 1
+), hit AS (
+    SELECT doc_id, k, k > lag(k, 1, -401) OVER w + 400 AS new FROM windows SEMI JOIN twice USING (h) WINDOW w AS (PARTITION BY doc_id ORDER BY k)
+), spans AS (
+    SELECT doc_id, min(k) AS a, max(k) + 400 AS b
+    FROM (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY k) AS g FROM hit) GROUP BY doc_id, g
+), gaps AS (
+    SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS last FROM spans
+), cut AS (
+    SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS final,
+           string_agg(substr(x, 2 * last + 1, 2 * (a - last)), '' ORDER BY a) AS head
+    FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(final, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""
+
+ORACLE["op3_ngram_jaccard"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), starts AS (
+    SELECT doc_id, w, unnest(range(greatest(len(w) - 3, 1))) AS k FROM words WHERE len(w) > 0
+), grams AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, k + 1, k + 4), ' ') AS g FROM starts
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), met AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
+    FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM overlaps JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+    WHERE 100 * o >= 85 * (s.n + t.n - o)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT documents.doc_id, coalesce(n, 0) AS n_shingles, c.component_id
+FROM documents LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+"""

@@ -10,7 +10,10 @@ from ledgersift.llm.common import crc_fold, table
 from ledgersift.llm.contamination import find_benchmark
 from ledgersift.llm.language import fit, predict
 from ledgersift.llm.lines import dedup_lines
+from ledgersift.llm.ngrams import near_duplicates
 from ledgersift.llm.pieces import decode_pieces, encode_pieces
+from ledgersift.llm.recompress import dedup_passages
+from ledgersift.llm.substrings import dedup_substrings
 from ledgersift.llm.wordpiece import token_counts
 
 
@@ -37,6 +40,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = F.lit("\\### Assistant: </turn> ok")
@@ -45,6 +53,12 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chats(turns.unionByName(own)))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts come back as words joined by one space, also where none is removed."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_passages(docs).select("doc_id", "n_words", "n_removed", digest(F.col("text")).alias("kept_sha256"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = fit(docs, crc_fold("doc_id") != 0)
@@ -64,4 +78,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.size(hits) > 0).alias("contaminated"), hits["item_id"].alias("item_ids"), hits["distance"].alias("distances"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_sentencepiece, op4_chat_format, op7_language_id, op8_token_counts, op9_decontamination)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.size("removed_spans").cast("long")
+    return dedup_substrings(docs).select("doc_id", "n_bytes", "n_removed", spans.alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_line_dedup, op2_sentencepiece, op3_ngram_jaccard, op4_chat_format, op5_substring_dedup, op7_language_id, op8_token_counts, op9_decontamination, op10_suffix_dedup)
+}

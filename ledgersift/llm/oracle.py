@@ -107,7 +107,7 @@ WITH RECURSIVE words AS (
     SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
     FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2
 ), links AS (
-    SELECT a, b FROM overlaps JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+    SELECT a, b FROM met JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
     WHERE 100 * o >= 85 * (s.n + t.n - o)
 ), reach AS (
     SELECT doc_id AS a, doc_id AS b FROM documents
@@ -117,3 +117,25 @@ SELECT documents.doc_id, coalesce(n, 0) AS n_shingles, c.component_id
 FROM documents LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
 """
+
+ORACLE["op6_embedding_dedup"] = r"""
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x FOR x IN embedding IF x <> 0]) > 0
+), links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y
+    ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+    WHERE list_cosine_similarity(x.v, y.v) >= 0.98
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), roots AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), counts AS (
+    SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""

@@ -14,6 +14,7 @@ from ledgersift.llm.ngrams import near_duplicates
 from ledgersift.llm.pieces import decode_pieces, encode_pieces
 from ledgersift.llm.recompress import dedup_passages
 from ledgersift.llm.substrings import dedup_substrings
+from ledgersift.llm.vectors import dedup_vectors
 from ledgersift.llm.wordpiece import token_counts
 
 
@@ -59,6 +60,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_passages(docs).select("doc_id", "n_words", "n_removed", digest(F.col("text")).alias("kept_sha256"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_vectors(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = fit(docs, crc_fold("doc_id") != 0)
@@ -86,5 +91,5 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_sentencepiece, op3_ngram_jaccard, op4_chat_format, op5_substring_dedup, op7_language_id, op8_token_counts, op9_decontamination, op10_suffix_dedup)
+    for f in (op1_line_dedup, op2_sentencepiece, op3_ngram_jaccard, op4_chat_format, op5_substring_dedup, op6_embedding_dedup, op7_language_id, op8_token_counts, op9_decontamination, op10_suffix_dedup)
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
 from functools import reduce
 from operator import and_
 
@@ -15,6 +16,19 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def time_literal(value: datetime | str | None, dtype: T.DataType) -> Column:
+    """A time as a literal of the column's own type.
+
+    A time without a zone is what the session's clock shows, for columns with
+    and without a zone alike; the zone of the driver process has no say.
+    """
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        since = value - datetime(1970, 1, 1, tzinfo=UTC)
+        micros = (since.days * 86_400 + since.seconds) * 1_000_000 + since.microseconds
+        return F.timestamp_micros(F.lit(micros)).cast(dtype)
+    return F.lit(None if value is None else str(value)).cast(dtype)
+
+
 def is_float(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.FloatType, T.DoubleType))
 

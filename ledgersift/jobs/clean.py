@@ -18,7 +18,7 @@ import logging
 import sys
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from ledgersift.plans.clean import CUSTOMER_FIRST, SIGMA_FIRST, clean, clean_report
 from ledgersift.session import build_session, pin_timezone, size_shuffles
@@ -26,6 +26,7 @@ from ledgersift.sources.files import select_files, total_bytes
 from ledgersift.sources.transactions import default_output, read_transactions, write_clean
 
 log = logging.getLogger("ledgersift.clean")
+UNREADABLE = "__unreadable"
 ORDERS = {"sigma-first": SIGMA_FIRST, "customer-first": CUSTOMER_FIRST}
 
 
@@ -33,6 +34,7 @@ ORDERS = {"sigma-first": SIGMA_FIRST, "customer-first": CUSTOMER_FIRST}
 class RunSummary:
     rows_in: int
     rows_out: int | None = None
+    unreadable: int = 0
 
     @property
     def written(self) -> bool:
@@ -42,7 +44,8 @@ class RunSummary:
         if not self.written:
             return ["the input is empty, nothing was written"]
         removed = 1 - self.rows_out / self.rows_in
-        return [f"rows read: {self.rows_in}", f"rows left: {self.rows_out} ({removed:.2%} removed)"]
+        lines = [f"rows read: {self.rows_in}", f"rows left: {self.rows_out} ({removed:.2%} removed)"]
+        return [*lines, f"lines with unreadable values: {self.unreadable}"] if self.unreadable else lines
 
 
 def run(
@@ -56,20 +59,26 @@ def run(
     steps: bool = False,
 ) -> RunSummary:
     """Read, clean, write. The rows left are counted from the footers of
-    the written files, not by running the plan again."""
+    the written files, not by running the plan again. If lines came in and
+    none of them could be read, the run stops before the write."""
     pin_timezone(spark)
     output_path = output_path or default_output(input_path)
     paths = select_files(spark, input_path, files) if files is not None else input_path
     size_shuffles(spark, total_bytes(spark, paths))
-    raw = read_transactions(spark, paths, infer=infer)
-    rows_in = raw.count()
+    raw = read_transactions(spark, paths, infer=infer, corrupt_column=None if infer else UNREADABLE)
+    bad = F.lit(0) if infer or UNREADABLE not in raw.columns else F.count(UNREADABLE)
+    rows_in, unreadable = raw.agg(F.count(F.lit(1)), bad).first()
+    raw = raw.drop(UNREADABLE)
     if rows_in == 0:
         return RunSummary(0)
+    if unreadable == rows_in:
+        raise ValueError(f"none of {rows_in} lines could be read")
     write_clean(clean(raw, ORDERS[order]), output_path, partition_by or ())
     if steps:
         for line in clean_report(raw, ORDERS[order]).orderBy("step_no").collect():
             log.info("%-10s %d rows (%.2f%% removed)", line.step, line.rows_out, 100 * line.removed_share)
-    return RunSummary(rows_in, spark.read.parquet(output_path).count())
+    left = spark.read.schema(raw.schema).parquet(output_path).count()
+    return RunSummary(rows_in, left, unreadable)
 
 
 def parse(argv: list[str]) -> argparse.Namespace:

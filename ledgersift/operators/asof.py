@@ -14,7 +14,7 @@ counts, and each slice starts with a seed, the newest feature before it:
 * The cuts are quantiles, read once and held as a bounded literal table, so
   that all parts of the plan, and tasks run again, see the same cuts.
 
-Rows with a NULL key or time match nothing and are spread over the slices.
+Rows with a NULL key or time match nothing and are set apart.
 
 Features no row can find are left out before the shuffle: those later than
 all rows, too old for all rows, and, when the rows have few distinct keys,
@@ -30,7 +30,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
-from ..functions.columns import quoted
+from ..functions.columns import quoted, time_literal
 from .heavy import (
     COUNT,
     DEFAULT_POLICY,
@@ -87,6 +87,9 @@ def asof_join(
         quoted(row_time).alias("__t"),
         F.struct(*[quoted(c).alias(c) for c in rows.columns]).alias("__row"),
     )
+    # Rows that can match nothing are neither shuffled nor sorted.
+    unmatched = reduce(or_, [F.col(c).isNull() for c in [*ks, "__t"]])
+    alone, asked = asked.filter(unmatched), asked.filter(~unmatched)
     if policy.enabled:
         known = _within_reach(known, asked, ks, max_age, policy)
     times = asked.select(*ks, "__t").dropna().unionByName(known.select(*ks, "__t"))
@@ -97,9 +100,6 @@ def asof_join(
         known = _slice_features(known, key_table(times, ks, heavy), cuts, ks)
     else:
         asked, known = (d.withColumn("__slice", F.lit(0)) for d in (asked, known))
-    unmatched = reduce(or_, [F.col(c).isNull() for c in [*ks, "__t"]])
-    asked = asked.withColumn("__slice", F.when(unmatched, _spread()).otherwise(F.col("__slice")))
-
     line = known.select(*ks, "__slice", "__t", HIT).unionByName(
         asked.select(*ks, "__slice", "__t", "__row"), allowMissingColumns=True
     )
@@ -113,7 +113,8 @@ def asof_join(
     found = carried.filter(F.col("__row").isNotNull())
     if max_age:
         found = found.withColumn(HIT, F.when(within_ttl(F.col("__t"), F.col(f"{HIT}.time"), max_age), F.col(HIT)))
-    return found.select("__row.*", HIT)
+    nothing = F.lit(None).cast(found.schema[HIT].dataType).alias(HIT)
+    return found.select("__row.*", HIT).unionAll(alone.select("__row.*", nothing))
 
 
 def _within_reach(
@@ -132,9 +133,10 @@ def _within_reach(
     ).first()
     if extent["keys"] == 0:
         return known.filter(F.lit(False))
-    known = known.filter(t <= back(F.lit(extent["last"])))
+    first, last = (back(_literal(extent[n], asked.schema["__t"].dataType)) for n in ("first", "last"))
+    known = known.filter(t <= last)
     if max_age:
-        known = known.filter(t >= back(F.lit(extent["first"])) - F.lit(max_age))
+        known = known.filter(t >= first - F.lit(max_age))
     if extent["keys"] <= policy.few_keys:
         known = known.join(F.broadcast(distinct_keys(asked, ks)), list(ks), "left_semi")
     return known
@@ -198,6 +200,11 @@ def _wire(dtype: T.DataType):
     return (lambda c: c), (lambda c: c)
 
 
+def _literal(value, dtype: T.DataType) -> Column:
+    """A value that came over the wire, without the zone of this process."""
+    return F.lit(value) if isinstance(dtype, T.TimestampType) else time_literal(value, dtype)
+
+
 def _distinct_places(times: Sequence) -> list[tuple]:
     """Cuts at rising places. Equal times are one crowded instant, which is
     then cut along the spread of its rows."""

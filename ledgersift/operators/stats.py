@@ -35,6 +35,9 @@ def value_range(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.min(quoted(column)).alias("min"), F.max(quoted(column)).alias("max"))
 
 
+SKETCH_ERROR = 0.05  # relative standard deviation of the sketch, its default
+
+
 def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """One row: distinct non-NULL values of each column, exact or by sketch."""
     count = F.approx_count_distinct if approximate else F.count_distinct

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.columns import quoted
+from ..functions.columns import quoted, time_literal
 from ..operators.asof import HIT, asof_join, within_ttl
 from ..operators.heavy import DEFAULT_POLICY, SkewPolicy
 from ..operators.lookup import lookup_join
@@ -61,8 +61,9 @@ def materialize(view: FeatureView, start: datetime | Column, end: datetime | Col
     """
     source = view.source
     time = quoted(source.timestamp)
-    low, high = (b if isinstance(b, Column) else F.lit(b) for b in (start, end))
     table = source.read(spark)
+    kind = table.schema[source.timestamp].dataType
+    low, high = (b if isinstance(b, Column) else time_literal(b, kind) for b in (start, end))
     # The struct sorts by time, then by what decides between equal times.
     rest = dict.fromkeys([*source.tie_breakers(table, view.entity.join_keys), *view.schema.names])
     row = F.struct(time.alias("time"), *[quoted(c).alias(c) for c in rest if c != source.timestamp])

@@ -35,7 +35,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int =
     many partitions keep each within a task's memory. Adaptive execution
     joins those that turn out small. A higher setting is left alone.
     """
-    wanted = min(100_000, -(-input_bytes // partition_bytes))
+    wanted = -(-input_bytes // partition_bytes)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))

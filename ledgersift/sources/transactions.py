@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.columns import TIMESTAMP_FORMAT
+from ..functions.columns import TIMESTAMP_FORMAT, quoted
 
 # Column order and names of the text files.
 TRANSACTION_SCHEMA = T.StructType(
@@ -23,6 +24,7 @@ TRANSACTION_SCHEMA = T.StructType(
     ]
 )
 TRANSACTION_COLUMNS = TRANSACTION_SCHEMA.names
+LINE = "__line"
 
 
 def transaction_schema(ntz: bool = False) -> T.StructType:
@@ -55,24 +57,50 @@ def read_transactions(
 ) -> DataFrame:
     """Transactions from one path, a glob or a list of paths.
 
-    The schema is declared, which saves the pass over the data that
-    inference costs; ``infer=True`` brings that pass back. Lines that do
-    not fit come back as NULLs (``corrupt_column`` keeps their text), or
-    stop the job with ``mode="FAILFAST"``. An empty list gives an empty table.
+    The types are declared, which saves the pass over the data that
+    inference costs; ``infer=True`` brings that pass back. Values are read
+    as inference would: times also with a fraction, a ``T`` or without a time
+    of day, whole numbers also with a point. A table of another number of
+    columns raises. A line with a value that cannot be read, or with another
+    number of columns, has NULL for what is unreadable; ``corrupt_column``
+    keeps its text, and ``mode="FAILFAST"`` stops the job. An empty list gives
+    an empty table.
     """
     schema = transaction_schema(ntz)
     wanted = [paths] if isinstance(paths, str) else list(paths)
     if not wanted:
         return spark.createDataFrame([], schema)
-    reader = spark.read.option("header", False).option("comment", "#").option("mode", mode)
+    reader = spark.read.option("header", False).option("comment", "#")
     if infer:
-        inferred = reader.option("inferSchema", True).csv(wanted)
+        inferred = reader.option("mode", mode).option("inferSchema", True).csv(wanted)
         return rename_positional(inferred, TRANSACTION_COLUMNS)
-    if corrupt_column:
-        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    kind = "timestampNTZFormat" if ntz else "timestampFormat"
-    return reader.option(kind, TIMESTAMP_FORMAT).schema(schema).csv(wanted)
+    first = reader.csv(wanted).columns  # of the first line
+    if first and len(first) != len(schema):
+        raise ValueError(f"{len(first)} columns cannot take {len(schema)} names")
+    texts = T.StructType([*[T.StructField(n, T.StringType()) for n in schema.names], T.StructField(LINE, T.StringType())])
+    lines = reader.option("columnNameOfCorruptRecord", LINE).schema(texts).csv(wanted)
+    fits = quoted(LINE).isNull()
+    values = {f.name: F.when(fits, _value(quoted(f.name), f.dataType)) for f in schema}
+    bad = ~fits
+    for name, value in values.items():
+        bad = bad | (quoted(name).isNotNull() & value.isNull())
+    text = F.coalesce(quoted(LINE), F.to_csv(F.struct(*[quoted(n) for n in schema.names])))
+    read = lines.select(*[v.alias(n) for n, v in values.items()], F.when(bad, text).alias(corrupt_column or LINE))
+    if mode == "FAILFAST":
+        said = F.concat(F.lit("malformed line: "), quoted(corrupt_column or LINE))
+        read = read.filter(F.when(quoted(corrupt_column or LINE).isNull(), True).otherwise(F.raise_error(said).cast("boolean")))
+    return read if corrupt_column else read.drop(LINE)
+
+
+def _value(text: Column, dtype: T.DataType) -> Column:
+    """A field's value, NULL where it cannot be read."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.coalesce(F.try_to_timestamp(text, F.lit(TIMESTAMP_FORMAT)).try_cast(dtype), text.try_cast(dtype))
+    if isinstance(dtype, T.IntegralType):
+        number = text.try_cast("double")
+        whole = F.when(number == F.floor(number), number.try_cast(dtype))
+        return F.coalesce(text.try_cast(dtype), whole)
+    return text.try_cast(dtype)
 
 
 def default_output(input_path: str) -> str:
@@ -80,15 +108,30 @@ def default_output(input_path: str) -> str:
 
 
 def write_clean(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite ``path`` with Parquet.
+    """Parquet in place of what ``path`` held.
 
-    With ``partition_by`` the rows are rebalanced on those columns first:
-    adaptive execution then joins small partitions and splits large ones,
-    so a day holding a third of the rows is written by many tasks.
+    The files are written beside it and moved when all are there, so that a
+    failed run leaves the earlier ones. With ``partition_by`` the rows are
+    rebalanced on those columns first: adaptive execution then joins small
+    partitions and splits large ones, so a day holding a third of the rows is
+    written by many tasks.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite")
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    new, old = jvm.org.apache.hadoop.fs.Path(beside), jvm.org.apache.hadoop.fs.Path(path)
+    files = new.getFileSystem(conf)
+    try:
+        writer.parquet(beside)
+        files.delete(old, True)
+        if not files.rename(new, old):
+            raise OSError(f"{beside} could not be moved to {path}")
+    except Exception:
+        if files.exists(old):
+            files.delete(new, True)
+        raise

@@ -239,6 +239,11 @@ def _feature_columns() -> str:
 
 ORACLE: dict[str, str] = {
     "src_csv_roundtrip": _TX_ROWS,
+    "src_csv_malformed": _tx(
+        "SELECT w IN (3, 4) AS unreadable, count(*) AS lines, "
+        "sum(CASE WHEN w <> 4 THEN customer_id END)::BIGINT AS customers, count(*) FILTER (w NOT IN (3, 4)) AS times "
+        "FROM (SELECT *, CASE WHEN transaction_id % 10 = 0 THEN transaction_id // 10 % 5 ELSE -1 END AS w FROM tx_raw) GROUP BY 1"
+    ),
     "src_glob_union": _TX_ROWS,
     "src_select_latest": _tx("SELECT * FROM tx_raw WHERE tx_time_days = (SELECT max(tx_time_days) FROM tx_raw)"),
     "src_select_first_n": _tx(f"SELECT * FROM tx_raw WHERE tx_time_days IN ({_DAY_NAMES} LIMIT 3)"),
@@ -262,6 +267,12 @@ ORACLE: dict[str, str] = {
         "count(DISTINCT tx_fraud) AS unique_tx_fraud, "
         "count(DISTINCT tx_fraud_scenario) AS unique_tx_fraud_scenario FROM tx_raw"
     ),
+    "prof_distinct_approx": _tx(
+        "\nUNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n, true AS near FROM tx_raw"
+            for c in ("customer_id", "terminal_id", "tx_fraud", "tx_fraud_scenario")
+        )
+    ),
     "prof_fraud_dist": _tx('SELECT tx_fraud, count(*) AS "count" FROM tx_raw GROUP BY 1 ORDER BY 1'),
     "prof_scenario_dist": _tx('SELECT tx_fraud_scenario, count(*) AS "count" FROM tx_raw GROUP BY 1 ORDER BY 1'),
     "prof_outliers": _tx("").rstrip()

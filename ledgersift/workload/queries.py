@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.columns import TIMESTAMP_FORMAT, is_unparsable
+from ..functions.columns import TIMESTAMP_FORMAT, is_unparsable, time_literal
 from ..operators import checks, dedupe, sigma, stats, trends
 from ..operators.heavy import SkewPolicy
 from ..operators.lookup import with_group_max
@@ -19,7 +19,7 @@ from ..plans.profile import profile
 from ..session import scratch_dir
 from ..sources.files import select_files
 from ..sources.transactions import TRANSACTION_COLUMNS, default_output, read_transactions, write_clean
-from .tables import NTZ, driver_stats, entities, table, tx_raw
+from .tables import driver_stats, entities, table, tx_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,6 +82,29 @@ def src_glob_union(spark, sf_dir):
     return read_transactions(spark, _text_table(spark, sf_dir) + "/*.txt", ntz=True)
 
 
+@query
+def src_csv_malformed(spark, sf_dir):
+    """Rows and unreadable lines when every tenth line is written otherwise:
+    in ways that are read all the same, or that are not."""
+    raw = tx_raw(spark, sf_dir).withColumn("tx_datetime", F.date_format("tx_datetime", TIMESTAMP_FORMAT))
+    line = F.to_csv(F.struct(*TRANSACTION_COLUMNS))
+    way = F.when(F.col("transaction_id") % 10 == 0, F.floor(F.col("transaction_id") / 10) % 5)
+    written = (
+        F.when(way == 0, F.regexp_replace(line, r"(:\d\d),", "$1.25,"))
+        .when(way == 1, F.regexp_replace(line, r"(\d) (\d)", "$1T$2"))
+        .when(way == 2, F.regexp_replace(line, r"(:\d\d),(\d+),", "$1,$2.0,"))
+        .when(way == 3, F.regexp_replace(line, r"\d:\d\d,", "never,"))
+        .when(way == 4, F.concat(line, F.lit(",1")))
+        .otherwise(line)
+    )
+    root = scratch_dir(spark, "malformed")
+    raw.select(written.alias("value")).write.text(root)
+    read = read_transactions(spark, root, ntz=True, corrupt_column="line")
+    return read.groupBy(F.col("line").isNotNull().alias("unreadable")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("customer_id").alias("customers"), F.count("tx_datetime").alias("times")
+    )
+
+
 @query
 def src_select_latest(spark, sf_dir):
     root = _text_table(spark, sf_dir)
@@ -133,7 +156,18 @@ def prof_distinct_exact(spark, sf_dir):
 
 @query
 def prof_distinct_approx(spark, sf_dir):
-    return stats.distinct_counts(tx_raw(spark, sf_dir), DISTINCT, approximate=True)
+    """Per column the exact number, and whether the sketch comes near enough.
+
+    Sketches differ from run to run; that they keep to three times their
+    stated error does not.
+    """
+    raw = tx_raw(spark, sf_dir)
+    exact = stats.distinct_counts(raw, DISTINCT)
+    sketch = stats.distinct_counts(raw, DISTINCT, approximate=True)
+    pair = lambda c: F.struct(F.lit(c).alias("column"), F.col(f"e.unique_{c}").alias("n"), F.col(f"s.unique_{c}").alias("s"))
+    both = exact.select(F.struct("*").alias("e")).withColumn("s", sketch.select(F.struct("*").alias("s")).scalar())
+    near = F.abs(F.col("s") - F.col("n")) <= 3 * stats.SKETCH_ERROR * F.col("n")
+    return both.select(F.inline(F.array(*[pair(c) for c in DISTINCT]))).select("column", "n", near.alias("near"))
 
 
 DISTINCT = ["customer_id", "terminal_id", "tx_fraud", "tx_fraud_scenario"]
@@ -174,7 +208,7 @@ def prof_bad_timestamps(spark, sf_dir):
 
 @query
 def prof_all_checks(spark, sf_dir):
-    return _rounded(profile(tx_raw(spark, sf_dir), F.lit(AS_OF).cast(NTZ)))
+    return _rounded(profile(tx_raw(spark, sf_dir), time_literal(AS_OF, T.TimestampNTZType())))
 
 
 # -- checks -----------------------------------------------------------------
@@ -231,7 +265,7 @@ def check_zero_customer(spark, sf_dir):
 
 @query
 def check_future_dates(spark, sf_dir):
-    later = checks.in_future(as_of=F.lit(AS_OF).cast(NTZ))
+    later = checks.in_future(as_of=time_literal(AS_OF, T.TimestampNTZType()))
     return checks.check(tx_raw(spark, sf_dir), "future_dates", later)
 
 
@@ -382,18 +416,16 @@ def feat_activity_score(spark, sf_dir):
 @query
 def feat_materialize(spark, sf_dir):
     view = _catalog(spark, sf_dir).view("driver_stats")
-    start, end = (F.lit(t).cast(NTZ) for t in (START, END))
-    return _rounded(materialize(view, start, end, spark)).withColumnRenamed("__found_at", "found_at")
+    return _rounded(materialize(view, START, END, spark)).withColumnRenamed("__found_at", "found_at")
 
 
 @query
 def feat_online_lookup(spark, sf_dir):
     catalog = _catalog(spark, sf_dir)
-    start, end = (F.lit(t).cast(NTZ) for t in (START, END))
     snapshots = {}
     for name, view in catalog.views.items():
         path = scratch_dir(spark, f"snapshot-{name}")
-        write_snapshot(view, start, end, path, spark)
+        write_snapshot(view, START, END, path, spark)
         snapshots[name] = spark.read.parquet(path)
     rows = entities(spark, sf_dir).select("entity_id", F.col("driver_id").cast("long").alias("driver_id"))
     return _rounded(get_online(rows, REFERENCES, catalog, snapshots))

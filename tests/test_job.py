@@ -54,6 +54,31 @@ def test_all_removed_is_written(spark, root):
     assert (found.rows_in, found.rows_out) == (1, 0)
 
 
+def test_all_removed_with_partitions(spark, root):
+    bad = root / "bad.txt"
+    bad.write_text("1,2022-11-01 10:00:00,1,1,-1,0,0,0,0\n")
+    assert job.main([str(bad), str(root / "out"), "--partition-by", "tx_time_days"]) == 0
+
+
+@pytest.mark.parametrize("line", ["1;2022-11-01 10:00:00;1;1;5;0;0;0;0", "1,2022-11-01 10:00:00,1,1,5,0,0,0", "1,2022-11-01 10:00:00,1,1,5,0,0,0,0,9", "1,never,1,1,5,0,0,0,0"])
+def test_unreadable_input_keeps_the_output(spark, root, line):
+    out = str(root / "out")
+    job.run(spark, str(root / "input_data" / "*.txt"), out)
+    before = spark.read.parquet(out).count()
+    (root / "odd.txt").write_text((line + "\n") * 3)
+    assert job.main([str(root / "odd.txt"), out]) == 1
+    assert spark.read.parquet(out).count() == before > 0
+
+
+def test_unreadable_lines_are_counted(spark, root):
+    path = root / "some.txt"
+    good = "{n},2022-11-01 10:00:00,1,1,5,0,0,0,0\n"
+    path.write_text(good.format(n=1) + "2,never,1,1,5,0,0,0,0\n" + "3,2022-11-01 10:00:00,1\n" + good.format(n=4))
+    found = job.run(spark, str(path), str(root / "out"))
+    assert (found.rows_in, found.rows_out, found.unreadable) == (4, 2, 2)
+    assert found.lines()[-1] == "lines with unreadable values: 2"
+
+
 def test_errors_end_with_one(spark, root, caplog):
     assert job.main([str(root / "missing.txt")]) == 1
     assert "cleaning failed" in caplog.text

@@ -57,7 +57,7 @@ def test_unknown_limit(spark, folder, limit):
 
 
 def test_every_object_without_suffix(spark, folder):
-    assert [p.rsplit("/", 1)[1] for p in select_files(spark, folder + "/", "all", suffix=None)][-1] == "readme.md"
+    assert [p.rsplit("/", 1)[1] for p in select_files(spark, folder + "/", 99, suffix=None)][-1] == "readme.md"
 
 
 def test_nothing_to_select(spark, tmp_path):
@@ -80,7 +80,7 @@ def test_lines_that_do_not_fit(spark, tmp_path):
     df = read_transactions(spark, str(path), corrupt_column="_bad").cache()
     rows = {r.transaction_id: r for r in df.collect()}
     assert rows[1]["_bad"] is None and rows[2]["_bad"].startswith("2,not") and rows[2].tx_amount is None
-    assert rows[3].terminal_id is None and rows[3]["_bad"] is not None
+    assert rows[None]["_bad"].startswith("3,2022")
     df.unpersist()
     with pytest.raises(Exception, match="(?i)malformed"):
         read_transactions(spark, str(path), mode="FAILFAST").collect()
@@ -89,8 +89,9 @@ def test_lines_that_do_not_fit(spark, tmp_path):
 def test_wrong_number_of_columns(spark, tmp_path):
     path = tmp_path / "x.txt"
     path.write_text("1,2,3\n")
-    with pytest.raises(ValueError, match="3 columns"):
-        read_transactions(spark, str(path), infer=True)
+    for infer in (True, False):
+        with pytest.raises(ValueError, match="3 columns"):
+            read_transactions(spark, str(path), infer=infer)
     assert rename_positional(spark.createDataFrame([(1, 2)], "a int, b int"), ["x", "y"]).columns == ["x", "y"]
 
 
@@ -109,9 +110,33 @@ def test_overwrite_and_partitions(spark, tmp_path, folder):
 def test_names_with_spaces(spark, tmp_path):
     for name in ("a b.txt", "c%20d.txt", "e+f.txt"):
         (tmp_path / name).write_text(LINE.format(n=1, d=1))
-    found = select_files(spark, str(tmp_path), "all")
+    found = select_files(spark, str(tmp_path), 9)
     assert [f.rsplit("/", 1)[1] for f in found] == ["a b.txt", "c%20d.txt", "e+f.txt"]
     assert read_transactions(spark, found).count() == 3
+    assert read_transactions(spark, select_files(spark, str(tmp_path), "all")).count() == 3
+
+
+@pytest.mark.parametrize("form", ["{}", "{}/", "file:{}", "file://{}", "file://{}/"])
+def test_forms_of_a_root(spark, folder, form):
+    root = form.format(folder)
+    assert [f.rsplit("/", 1)[1] for f in select_files(spark, root, 2)] == ["2022-11-03.txt", "2022-11-04.txt"]
+    assert ids(read_transactions(spark, select_files(spark, root, "all"))) == [3, 4, 5]
+
+
+READ_ALL_THE_SAME = {
+    "1,2022-11-01 10:00:00.123,5,6,12.5,100,1,0,0": datetime(2022, 11, 1, 10, 0, 0, 123000),
+    "1,2022-11-01T10:00:00,5,6,12.5,100,1,0,0": datetime(2022, 11, 1, 10),
+    "1,2022-11-01,5,6,12.5,100,1,0,0": datetime(2022, 11, 1),
+    "1,2022-11-01 10:00:00,5.0,6,12.5,100,1,0,0": datetime(2022, 11, 1, 10),
+}
+
+
+@pytest.mark.parametrize("line", READ_ALL_THE_SAME)
+@pytest.mark.parametrize("ntz", [False, True])
+def test_values_that_inference_reads(spark, tmp_path, line, ntz):
+    (tmp_path / "x.txt").write_text(line + "\n")
+    row = read_transactions(spark, str(tmp_path / "x.txt"), ntz=ntz, corrupt_column="_bad").first()
+    assert tuple(row) == (1, READ_ALL_THE_SAME[line], 5, 6, 12.5, 100, 1, 0, 0, None)
 
 
 def test_shuffles_are_sized_by_the_input(spark, folder):

@@ -24,6 +24,7 @@ those of other keys. The times become filters of the scan.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from datetime import timedelta
 from functools import reduce
 from operator import or_
@@ -64,11 +65,13 @@ def asof_join(
     tie_breakers: Sequence[str] = (),
     policy: SkewPolicy = DEFAULT_POLICY,
     max_age: timedelta | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """All columns of ``rows`` and a struct ``__hit``: the time and ``columns``
     of the newest feature row with ``feature_time <= row_time``, or NULL.
     One older than ``max_age`` does not count. Unless the policy is off, ``rows``
-    are read for their extent first and must be the same when read again.
+    are read for their extent first and must be the same when read again;
+    ``layout`` gives what was counted before, for joins with several sources.
 
     Of feature rows at one instant the greatest counts, compared by
     ``tie_breakers`` and then by the remaining columns.
@@ -90,16 +93,14 @@ def asof_join(
     # Rows that can match nothing are neither shuffled nor sorted.
     unmatched = reduce(or_, [F.col(c).isNull() for c in [*ks, "__t"]])
     alone, asked = asked.filter(unmatched), asked.filter(~unmatched)
-    if policy.enabled:
-        known = _within_reach(known, asked, ks, max_age, policy)
-    times = asked.select(*ks, "__t").dropna().unionByName(known.select(*ks, "__t"))
-    heavy = heavy_keys(times, ks, policy)
-    if heavy:
-        cuts = _cuts(times, ks, heavy, policy)
-        asked = _place(asked.withColumn("__spread", _spread()), cuts, ks)
-        known = _slice_features(known, key_table(times, ks, heavy), cuts, ks)
+    layout = layout or lay_out(rows, keys, row_time, [(features, feature_time, max_age)], policy)
+    known = layout.within_reach(known, max_age)
+    if layout.heavy:
+        asked = _place(asked.withColumn("__spread", _spread()), layout.cuts, ks)
+        known = _slice_features(known, key_table(known, ks, layout.heavy), layout.cuts, ks)
     else:
         asked, known = (d.withColumn("__slice", F.lit(0)) for d in (asked, known))
+
     line = known.select(*ks, "__slice", "__t", HIT).unionByName(
         asked.select(*ks, "__slice", "__t", "__row"), allowMissingColumns=True
     )
@@ -117,29 +118,68 @@ def asof_join(
     return found.select("__row.*", HIT).unionAll(alone.select("__row.*", nothing))
 
 
-def _within_reach(
-    known: DataFrame, asked: DataFrame, ks: Sequence[str], max_age: timedelta | None, policy: SkewPolicy
-) -> DataFrame:
-    """The features some row may find, by the extent of the rows.
+@dataclass(frozen=True)
+class Layout:
+    """What is known of rows and features before they are joined.
 
-    One aggregation over keys and times of the rows. Its one result row
-    also proves how large the broadcast of the keys would be.
+    first, last  extent of the rows' times; NULL without rows
+    near         the rows' keys, to be broadcast; None if there are too many
+    heavy, cuts  keys to be cut into slices, and where
     """
-    wire, back = _wire(asked.schema["__t"].dataType)
+
+    first: Column | None = None
+    last: Column | None = None
+    near: DataFrame | None = None
+    heavy: Sequence[Row] = ()
+    cuts: DataFrame | None = None
+
+    def within_reach(self, known: DataFrame, max_age: timedelta | None) -> DataFrame:
+        """The features some row may find."""
+        t = F.col("__t")
+        if self.last is not None:
+            known = known.filter(t <= self.last)
+            if max_age:
+                known = known.filter(t >= self.first - F.lit(max_age))
+        if self.near is not None:
+            known = known.join(F.broadcast(self.near), self.near.columns, "left_semi")
+        return known
+
+
+def lay_out(
+    rows: DataFrame,
+    keys: Sequence[str],
+    row_time: str,
+    sources: Sequence[tuple[DataFrame, str, timedelta | None]],
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> Layout:
+    """Counted once for rows and all sources (features, their time, the oldest
+    that counts) that are joined to them by these keys.
+
+    One aggregation over keys and times of the rows gives their extent, and
+    how large a broadcast of the keys would be. A second one, over rows and the
+    features within reach, gives the heavy keys.
+    """
+    if not policy.enabled:
+        return Layout()
+    ks = [f"__k{i}" for i in range(len(keys))]
+    named = [quoted(k).alias(a) for k, a in zip(keys, ks)]
+    dtype = rows.schema[row_time].dataType
+    asked = rows.select(*named, quoted(row_time).alias("__t")).dropna()
+    wire, back = _wire(dtype)
     t = F.col("__t")
-    per_key = asked.select(*ks, "__t").dropna().groupBy(*ks).agg(F.min(t).alias("first"), F.max(t).alias("last"))
+    per_key = asked.groupBy(*ks).agg(F.min(t).alias("first"), F.max(t).alias("last"))
     extent = per_key.agg(
         F.count(F.lit(1)).alias("keys"), wire(F.min("first")).alias("first"), wire(F.max("last")).alias("last")
     ).first()
-    if extent["keys"] == 0:
-        return known.filter(F.lit(False))
-    first, last = (back(_literal(extent[n], asked.schema["__t"].dataType)) for n in ("first", "last"))
-    known = known.filter(t <= last)
-    if max_age:
-        known = known.filter(t >= first - F.lit(max_age))
-    if extent["keys"] <= policy.few_keys:
-        known = known.join(F.broadcast(distinct_keys(asked, ks)), list(ks), "left_semi")
-    return known
+    first, last = (back(_literal(extent[n], dtype)) for n in ("first", "last"))
+    near = distinct_keys(asked, ks) if extent["keys"] <= policy.few_keys else None
+    layout = Layout(first, last, near)
+    times = asked
+    for features, feature_time, max_age in sources:
+        known = features.select(*named, quoted(feature_time).cast(dtype).alias("__t")).dropna()
+        times = times.unionByName(layout.within_reach(known, max_age))
+    heavy = heavy_keys(times, ks, policy)
+    return replace(layout, heavy=heavy, cuts=_cuts(times, ks, heavy, policy)) if heavy else layout
 
 
 def _spread() -> Column:

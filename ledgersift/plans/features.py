@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import quoted, time_literal
-from ..operators.asof import HIT, asof_join, within_ttl
+from ..operators.asof import HIT, asof_join, lay_out, within_ttl
 from ..operators.heavy import DEFAULT_POLICY, SkewPolicy
 from ..operators.lookup import lookup_join
 from .feature_model import Catalog, FeatureView, OnDemandView, column_name
@@ -27,7 +27,8 @@ def get_historical(
 
     Views on the same source and key share one as-of pass; what differs
     is how long they are valid, and that is decided afterwards: when the
-    newest row is too old, so are all others.
+    newest row is too old, so are all others. Extent and heavy keys are
+    counted once for all sources that share their keys.
     """
     wanted, fetch, compute = catalog.resolve(references)
     groups: dict[tuple, list[FeatureView]] = {}
@@ -35,14 +36,21 @@ def get_historical(
         view = catalog.view(name)
         groups.setdefault((id(view.source), view.entity.join_keys), []).append(view)
 
+    oldest = {g: max(v.ttl for v in views) if all(v.ttl for v in views) else None for g, views in groups.items()}
+    tables = {g: views[0].source.read(rows.sparkSession) for g, views in groups.items()}
+    layouts = {}
+    for keys in dict.fromkeys(keys for _, keys in groups):
+        alike = [(tables[g], groups[g][0].source.timestamp, oldest[g]) for g in groups if g[1] == keys]
+        layouts[keys] = lay_out(rows, keys, row_time, alike, policy)
+
     out = rows
-    for (_, keys), views in groups.items():
-        source = views[0].source
+    for group, views in groups.items():
+        source, keys = views[0].source, group[1]
         columns = list(dict.fromkeys(c for v in views for c in fetch[v.name]))
-        table = source.read(rows.sparkSession)
-        ties = source.tie_breakers(table, keys)
-        oldest = max(v.ttl for v in views) if all(v.ttl for v in views) else None
-        found = asof_join(out, table, keys, row_time, source.timestamp, columns, ties, policy, oldest)
+        ties = source.tie_breakers(tables[group], keys)
+        found = asof_join(
+            out, tables[group], keys, row_time, source.timestamp, columns, ties, policy, oldest[group], layouts[keys]
+        )
         features = {}
         for view in views:
             valid = within_ttl(quoted(row_time), F.col(f"{HIT}.time"), view.ttl)

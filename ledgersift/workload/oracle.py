@@ -338,6 +338,16 @@ SELECT round((SELECT lower FROM limits), 6) AS lower, round((SELECT upper FROM l
     "feat_historical_sliced": _masked("36 HOUR", "30 DAY") + f"SELECT {_KEYS}, {_STATS} FROM masked",
     "feat_historical_multi": _masked("3 DAY", "36 HOUR")
     + f"SELECT {_KEYS}, {_STATS}, {_ACTIVITY}, {_SCORE.format(src='masked')} FROM masked",
+    "feat_historical_two_sources": _masked("36 HOUR", "30 DAY")
+    + f""", spending AS (
+  SELECT o_custkey AS driver_id, o_orderdate + INTERVAL 8400 DAY AS since, count(*) AS n, sum(o_totalprice) AS worth
+  FROM orders GROUP BY ALL
+), spent AS (
+  SELECT m.*, p.since >= m.event_timestamp - INTERVAL 60 DAY AS valid, p.n, p.worth
+  FROM masked m ASOF LEFT JOIN spending p ON m.driver_id = p.driver_id AND m.event_timestamp >= p.since
+)
+SELECT {_KEYS}, {_STATS}, CASE WHEN valid THEN n END AS spending__n_orders,
+       round(CASE WHEN valid THEN worth END, 6) AS spending__spent FROM spent""",
     "feat_activity_score": _masked("36 HOUR", "30 DAY")
     + f"SELECT {_KEYS}, {_SCORE.format(src='masked')} FROM masked",
     "feat_materialize": f"WITH {_FEATURES},{_SNAPSHOT}\nSELECT driver_id, round(conv_rate, 6) AS conv_rate, "

@@ -13,13 +13,13 @@ from ..operators.heavy import SkewPolicy
 from ..operators.lookup import with_group_max
 from ..plans import clean as cleaning
 from ..plans.driver_features import driver_catalog
-from ..plans.feature_model import Source
+from ..plans.feature_model import Catalog, Entity, FeatureView, Source
 from ..plans.features import get_historical, get_online, latest_entities, materialize, write_snapshot
 from ..plans.profile import profile
 from ..session import scratch_dir
 from ..sources.files import select_files
 from ..sources.transactions import TRANSACTION_COLUMNS, default_output, read_transactions, write_clean
-from .tables import driver_stats, entities, table, tx_raw
+from .tables import driver_stats, entities, orders_by_day, table, tx_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,7 +27,7 @@ QUERIES: dict[str, Query] = {}
 # The parameters the SQL texts repeat.
 AS_OF = datetime(2024, 1, 15)
 START, END = datetime(2024, 1, 5), datetime(2024, 1, 15)
-SHORT_TTL, MEDIUM_TTL = timedelta(hours=36), timedelta(days=3)
+SHORT_TTL, MEDIUM_TTL, SPENDING_TTL = timedelta(hours=36), timedelta(days=3), timedelta(days=60)
 REFERENCES = [
     "driver_stats:conv_rate",
     "driver_stats:acc_rate",
@@ -407,6 +407,21 @@ def feat_historical_multi(spark, sf_dir):
     return _rounded(get_historical(entities(spark, sf_dir), REFERENCES, catalog))
 
 
+@query
+def feat_historical_two_sources(spark, sf_dir):
+    """Features of drivers, and of the customers of the same numbers."""
+    view = FeatureView(
+        "spending",
+        Entity("driver", ("driver_id",)),
+        T.StructType([T.StructField("n_orders", T.LongType()), T.StructField("spent", T.DoubleType())]),
+        Source("orders_source", "event_timestamp", table=orders_by_day(spark, sf_dir)),
+        SPENDING_TTL,
+    )
+    catalog = _catalog(spark, sf_dir, SHORT_TTL)
+    both = Catalog([*catalog.views.values(), view], list(catalog.on_demand.values()))
+    return _rounded(get_historical(entities(spark, sf_dir), [*STATS, "spending:n_orders", "spending:spent"], both))
+
+
 @query
 def feat_activity_score(spark, sf_dir):
     catalog = _catalog(spark, sf_dir, SHORT_TTL)

@@ -97,3 +97,16 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("driver_id"),
         F.col("ts").alias("event_timestamp"),
     )
+
+
+def orders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and their worth per customer and day, moved by 8400 days so that
+    they reach into the time of the events."""
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy(
+            F.col("o_custkey").alias("driver_id"),
+            (F.col("o_orderdate") + F.expr("INTERVAL 8400 DAYS")).cast(NTZ).alias("event_timestamp"),
+        )
+        .agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("spent"))
+    )

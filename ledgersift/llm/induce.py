@@ -133,21 +133,33 @@ def named(text: np.ndarray, up: np.ndarray, lms: np.ndarray) -> np.ndarray:
 
 def shared(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
     """Length of the common prefix of the suffixes at a and b, up to ``cap``.
-    ``text`` is padded by ``cap`` + 8 letters."""
-    out = np.zeros(len(a), np.int64)
+
+    Six letters are packed into a number, and numbers compared until they differ.
+    """
+    n, wide = len(text), 6
+    letters = np.zeros(n + cap + 2 * wide, np.int64)
+    letters[:n] = text + 1  # 0 stands behind the end
+    words = letters[: n + cap + wide].copy()
+    for k in range(1, wide):
+        words = (words << 10) | letters[k : k + len(words)]
+    out = np.full(len(a), cap, np.int64)
     live = np.arange(len(a))
-    for k in range(cap):
-        same = text[a[live] + k] == text[b[live] + k]
-        live = live[same]
-        if not len(live):
-            break
-        out[live] = k + 1
-    return out
+    for k in range(0, cap, wide):
+        x = words[a[live] + k] ^ words[b[live] + k]
+        differ = x != 0
+        if differ.any():
+            # Letters before the highest bit in which the numbers differ.
+            bits = np.frexp(x[differ].astype(np.float64))[1]
+            out[live[differ]] = k + (10 * wide - bits) // 10
+            live = live[~differ]
+            if not len(live):
+                break
+    return np.minimum(np.minimum(out, cap), n - np.maximum(a, b))
 
 
 def suffix_order(text: np.ndarray, cap: int, budget: int = 64 << 20) -> tuple[np.ndarray, np.ndarray]:
     """Positions in order of their suffixes' first ``cap`` letters, and the
-    length each shares with the one before, up to ``cap``. Letters are 0 … 598."""
+    length each shares with the one before, up to ``cap``. Letters are 0 … 509."""
     n = len(text)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -158,9 +170,7 @@ def suffix_order(text: np.ndarray, cap: int, budget: int = 64 << 20) -> tuple[np
     if len(lms):
         names = named(text, up, lms)
         order = lms[_order(names, cap, budget)]
-        padded = np.concatenate((text, np.full(cap + 8, -1, np.int32)))
-        padded[n:] -= np.arange(cap + 8)
-        lcp = np.concatenate(([0], shared(padded, order[:-1], order[1:], cap)))
+        lcp = np.concatenate(([0], shared(text, order[:-1], order[1:], cap)))
     else:
         order, lcp = lms, np.zeros(0, np.int64)
     return _induce(text, up, run, order, lcp, cap, budget)

@@ -67,9 +67,23 @@ def anchors(data: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.
     return text[head], hashes[place[head]], start[head] - first[text[head]], start[tail] - first[text[head]] + 1
 
 
-def repeated_starts(parts: list[bytes], again: np.ndarray, length: int, budget: int) -> list[np.ndarray]:
+def repeated_starts(parts: list[bytes], anchor: np.ndarray, again: np.ndarray, length: int, budget: int) -> list[np.ndarray]:
     """For each part, which starts of strings of ``length`` bytes are repeated,
-    in another place or, where ``again`` says so, in a copy of the part."""
+    in another place or, where ``again`` says so, in a copy of the part.
+
+    A part that is the only one with its anchor has its strings in its own
+    copies alone, and needs no place in the order.
+    """
+    _, group, kinds = np.unique(anchor, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(kinds[group] > 1)
+    flags = [np.full(len(p) - length + 1, bool(a)) for p, a in zip(parts, again, strict=True)]
+    if len(shared):
+        for k, flag in zip(shared, _sorted_starts([parts[k] for k in shared], length, budget), strict=True):
+            flags[k] |= flag
+    return flags
+
+
+def _sorted_starts(parts: list[bytes], length: int, budget: int) -> list[np.ndarray]:
     size = np.array([len(p) for p in parts], np.int64)
     first = np.concatenate(([0], np.cumsum(size + 1)))[:-1]
     text = np.frombuffer(b"\x00".join(parts), np.uint8).astype(np.int32) + 1
@@ -80,10 +94,10 @@ def repeated_starts(parts: list[bytes], again: np.ndarray, length: int, budget:
     flag = np.zeros(len(text) + 1, bool)
     flag[order[alike]] = True
     flag[order[np.flatnonzero(alike) - 1]] = True
-    return [np.full(s - length + 1, True) if a else flag[f : f + s - length + 1] for f, s, a in zip(first, size, again, strict=True)]
+    return [flag[f : f + s - length + 1] for f, s in zip(first, size, strict=True)]
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, shard_bytes: int = 4 << 20, budget: int = 64 << 20) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, shard_bytes: int = 1 << 20, budget: int = 64 << 20) -> DataFrame:
     """(_row, spans): for each text the bytes [start, end) covered by a string of
     ``length`` bytes that also starts elsewhere."""
     texts = row_keys(docs, id_col, text_col).select("_row", F.col(text_col).cast("string").alias("text"))
@@ -102,7 +116,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         a = np.frombuffer(row["starts"], np.int64)[use]
         found = np.stack((a, a + np.frombuffer(row["ends"], np.int32)[use], np.frombuffer(row["keys"], np.int64)[use]), axis=1)
         cut = np.flatnonzero(np.diff(text, prepend=-1))
-        parts = [found[x:y].tobytes() for x, y in zip(cut, [*cut[1:], len(text)], strict=True)]
+        parts = [part.tobytes() for part in np.split(found, cut[1:])] if len(cut) else []
         return pa.table({"_key": pa.array(ids[text[cut]], pa.int64()), "spans": pa.array(parts, pa.binary())})
 
     found = kept(told(packed, tally(packed), twice, "_key long, spans binary").dropDuplicates(["_key"]), "anchor-spans")
@@ -132,7 +146,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shards = max(1, -(-total // shard_bytes))
 
     def order(rows: pa.Table) -> pa.Table:
-        flags = repeated_starts(rows["bytes"].to_pylist(), np.asarray(rows["n"]) > 1, length, budget)
+        flags = repeated_starts(rows["bytes"].to_pylist(), np.asarray(rows["anchor"]), np.asarray(rows["n"]) > 1, length, budget)
         spans = []
         for flag in flags:
             edge = np.diff(np.concatenate(([0], flag.astype(np.int8), [0])))
@@ -172,7 +186,7 @@ def _texts(done: list):
         yield from out.rename_columns(["_row", "spans"]).to_batches()
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, shard_bytes: int = 4 << 20, budget: int = 64 << 20) -> DataFrame:
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, shard_bytes: int = 1 << 20, budget: int = 64 << 20) -> DataFrame:
     """The documents without byte strings that stand twice in the corpus.
 
     Each byte covered by a string of ``length`` bytes that also starts anywhere

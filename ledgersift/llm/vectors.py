@@ -221,7 +221,7 @@ def dedup_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
 def audit_recall(vectors: DataFrame, links: DataFrame, members: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", bound: float = 0.98) -> float:
     """Share of the true links of every hundredth id that were found. The
     queries are compared with all rows of their label, in blocks."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("v")).where(usable("v") & F.col("label").isNotNull())
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("v")).where(usable("v") & F.col("label").isNotNull() & F.col("id").isNotNull())
     queries = rows.where("id % 100 = 0").groupBy("label", F.pmod(F.xxhash64("id"), F.lit(64)).alias("part")).agg(F.collect_list(F.struct("id", "v")).alias("queries"))
 
     def compare(batches):

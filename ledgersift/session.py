@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -53,7 +56,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
     On a cluster it lies in the shared folder named by
     ``spark.checkpoint.dir``. Only a local session may fall back to a
-    temporary folder of this machine.
+    temporary folder of this machine, which goes when the process ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -61,5 +64,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="ledgersift-")
+        base = _local_base()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_base() -> str:
+    base = tempfile.mkdtemp(prefix="ledgersift-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base

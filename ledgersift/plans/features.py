@@ -62,33 +62,40 @@ def get_historical(
     return _with_on_demand(out, compute).select(*_result_columns(rows, wanted))
 
 
-def materialize(view: FeatureView, start: datetime | Column, end: datetime | Column, spark: SparkSession) -> DataFrame:
-    """The newest row of each key within ``start`` and ``end``, both included.
+def materialize(
+    view: FeatureView | Sequence[FeatureView], start: datetime | Column, end: datetime | Column, spark: SparkSession
+) -> DataFrame:
+    """The newest row of each key within ``start`` and ``end``, both included,
+    with the features of one view, or of several on one source and key.
 
     An aggregate, so a key with many rows shrinks before the shuffle.
     """
-    source = view.source
+    views = [view] if isinstance(view, FeatureView) else list(view)
+    source, keys = views[0].source, views[0].entity.join_keys
+    if any(v.source is not source or v.entity.join_keys != keys for v in views):
+        raise ValueError("views of one snapshot share their source and key")
+    fields = {f.name: f for v in views for f in v.schema}
+    if any(fields[f.name].dataType != f.dataType for v in views for f in v.schema):
+        raise ValueError("views of one snapshot agree on the types of their features")
     time = quoted(source.timestamp)
     table = source.read(spark)
     kind = table.schema[source.timestamp].dataType
     low, high = (b if isinstance(b, Column) else time_literal(b, kind) for b in (start, end))
     # The struct sorts by time, then by what decides between equal times.
-    rest = dict.fromkeys([*source.tie_breakers(table, view.entity.join_keys), *view.schema.names])
+    rest = dict.fromkeys([*source.tie_breakers(table, keys), *fields])
     row = F.struct(time.alias("time"), *[quoted(c).alias(c) for c in rest if c != source.timestamp])
     newest = (
-        table.filter(time.between(low, high))
-        .groupBy(*[quoted(k) for k in view.entity.join_keys])
-        .agg(F.max(row).alias(HIT))
+        table.filter(time.between(low, high)).groupBy(*[quoted(k) for k in keys]).agg(F.max(row).alias(HIT))
     )
     values = [
         F.col(HIT)["time" if f.name == source.timestamp else f.name].cast(f.dataType).alias(f.name)
-        for f in view.schema
+        for f in fields.values()
     ]
-    return newest.select(*[quoted(k) for k in view.entity.join_keys], *values, F.col(f"{HIT}.time").alias(FOUND_AT))
+    return newest.select(*[quoted(k) for k in keys], *values, F.col(f"{HIT}.time").alias(FOUND_AT))
 
 
-def write_snapshot(view: FeatureView, start, end, path: str, spark: SparkSession) -> None:
-    """The materialized view as Parquet, in place of an earlier one."""
+def write_snapshot(view: FeatureView | Sequence[FeatureView], start, end, path: str, spark: SparkSession) -> None:
+    """The materialized view or views as Parquet, in place of an earlier one."""
     materialize(view, start, end, spark).write.mode("overwrite").parquet(path)
 
 
@@ -102,20 +109,23 @@ def get_online(
 ) -> DataFrame:
     """``rows`` with the latest value of each wanted feature.
 
-    ``snapshots`` holds the materialized table of each stored view. With
+    ``snapshots`` holds the materialized table of each stored view; views that
+    are given the same table take one join. With
     ``as_of`` values older than the view's time to live come back as NULL.
     """
     wanted, fetch, compute = catalog.resolve(references)
+    groups: dict[tuple, list[str]] = {}
+    for name in fetch:
+        groups.setdefault((id(snapshots[name]), catalog.view(name).entity.join_keys), []).append(name)
     out = rows
-    for name, features in fetch.items():
-        view = catalog.view(name)
-        keys = view.entity.join_keys
-        fresh = F.lit(True)
-        if as_of is not None and view.ttl:
-            fresh = F.col(FOUND_AT) >= as_of - F.lit(view.ttl)
-        values = [F.when(fresh, quoted(f)).alias(column_name(name, f)) for f in features]
-        table = snapshots[name].select(*[quoted(k) for k in keys], *values)
-        out = lookup_join(out, table, keys, policy)
+    for (_, keys), names in groups.items():
+        values = []
+        for name in names:
+            ttl, fresh = catalog.view(name).ttl, F.lit(True)
+            if as_of is not None and ttl:
+                fresh = F.col(FOUND_AT) >= as_of - F.lit(ttl)
+            values += [F.when(fresh, quoted(f)).alias(column_name(name, f)) for f in fetch[name]]
+        out = lookup_join(out, snapshots[names[0]].select(*[quoted(k) for k in keys], *values), keys, policy)
     return _with_on_demand(out, compute).select(*_result_columns(rows, wanted))
 
 

@@ -437,10 +437,8 @@ def feat_materialize(spark, sf_dir):
 @query
 def feat_online_lookup(spark, sf_dir):
     catalog = _catalog(spark, sf_dir)
-    snapshots = {}
-    for name, view in catalog.views.items():
-        path = scratch_dir(spark, f"snapshot-{name}")
-        write_snapshot(view, START, END, path, spark)
-        snapshots[name] = spark.read.parquet(path)
+    path = scratch_dir(spark, "snapshot")
+    write_snapshot(list(catalog.views.values()), START, END, path, spark)
+    snapshots = dict.fromkeys(catalog.views, spark.read.parquet(path))
     rows = entities(spark, sf_dir).select("entity_id", F.col("driver_id").cast("long").alias("driver_id"))
     return _rounded(get_online(rows, REFERENCES, catalog, snapshots))

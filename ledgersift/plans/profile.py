@@ -87,14 +87,19 @@ def _values(df: DataFrame, top: int) -> list[DataFrame]:
     """Value counts, the commonest clock differences, distinct counts.
 
     The few values of the small columns are counted jointly in one scan.
-    Each single count is a sum over that result, whose shuffle is shared.
+    Each single count is a sum over that result, whose shuffle is shared, and
+    their distinct counts come from there too.
     """
     keys = [*LISTED, SKEW]
     joint = with_clock_skew(df).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
     single = {k: joint.groupBy(k).agg(F.sum("count").alias("count")) for k in keys}
     single[SKEW] = single[SKEW].orderBy(F.col("count").desc(), SKEW).limit(top)
-    distinct = df.agg(*[F.count_distinct(quoted(c)).alias(c) for c in COUNTED])
-    return [*[_count_lines(single[k], k) for k in keys], _tall(distinct, "distinct")]
+    many = df.agg(*[F.count_distinct(quoted(c)).alias(c) for c in COUNTED if c not in keys])
+    # The count is always above 0. Reading it keeps the plan of ``joint`` the
+    # same as elsewhere, so that its shuffle is shared.
+    seen = {c: F.when(F.col("count") > 0, quoted(c)) for c in COUNTED if c in keys}
+    few = joint.agg(*[F.count_distinct(v).alias(c) for c, v in seen.items()])
+    return [*[_count_lines(single[k], k) for k in keys], _tall(many, "distinct"), _tall(few, "distinct")]
 
 
 def _count_lines(counts: DataFrame, column: str) -> DataFrame:

@@ -113,7 +113,7 @@ def find_benchmark(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
-    edits: float = 0.05,
+    edits: float = 0.08,
     min_chars: int = 40,
     items_at_once: int = 50_000,
 ) -> DataFrame:

@@ -11,9 +11,10 @@ tree. Walking the tree, the overlaps with all sets on the other side are
 carried along, so that equal beginnings are counted once; a subtree is left when
 too few n-grams remain for any of them.
 
-First each signature's classes meet the one among them that shares most. What
-is then connected needs no more comparison. Only classes of one signature
-that are still apart meet each other, in blocks of bounded size.
+Groups connected by signatures are mostly small and meet as a whole. In a group
+too large for one task each signature's classes first meet the one among them
+that shares most. What is then connected needs no more comparison. Only classes
+of one signature that are still apart meet each other, in blocks.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgersift.llm.blocks import pack, tally, told
-from ledgersift.llm.common import STEP, U64, Words, kept, map_batches, mix, prefix_hash, span_hash, window_hashes, without
+from ledgersift.llm.common import STEP, U64, Words, few, kept, map_batches, mix, prefix_hash, span_hash, window_hashes, without
 from ledgersift.llm.graph import components
 
 
@@ -55,6 +56,13 @@ class Likeness:
         return self.shown(n) - np.minimum(self.shown(n), smaller - self.least(smaller) + 1) + 1
 
 
+class ShownLikeness(Likeness):
+    """What linked sets share of their shown hashes at least."""
+
+    def need(self, n, m):
+        return np.minimum(n - self.least(n), m - self.least(m)) + 1
+
+
 def shingle_sets(texts: list, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(values, first): each text's distinct hashes in order, one text after
     the other. A text with fewer than ``width`` words has one, its words."""
@@ -153,6 +161,7 @@ def tree_links(stored: list[np.ndarray], asked: list[np.ndarray], sizes: np.ndar
     return found
 
 
+PAIR = "a long, b long"
 MEET = T.StructType([T.StructField(n, T.LongType()) for n in ("g", "h", "k", "side", "cls", "component", "n")] + [T.StructField("values", T.BinaryType())])
 
 
@@ -164,13 +173,54 @@ def _meet(like: Likeness):
         a = np.flatnonzero(side != 1)  # 0: on both sides, 1 asked, 2 stored
         b = np.flatnonzero(side != 2)
         apart = part[a][:, None] != part[b][None, :]
+        less, more = np.minimum(size[a][:, None], size[b][None, :]), np.maximum(size[a][:, None], size[b][None, :])
+        apart &= less >= like.least(more)
         pairs = tree_links([values[k] for k in a], [values[k] for k in b], size[a], size[b], apart, like) if len(a) and len(b) and apart.any() else []
         return pa.table({"a": pa.array([int(cls[a[x]]) for x, _ in pairs], pa.int64()), "b": pa.array([int(cls[b[y]]) for _, y in pairs], pa.int64())})
 
     return work
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, block_sets: int = 512, block_values: int = 1 << 17) -> DataFrame:
+def _large_groups(postings: DataFrame, signed: DataFrame, sets: DataFrame, like: Likeness, block_sets: int, block_values: int) -> DataFrame:
+    """Links among classes of groups too large to meet in one place.
+
+    The classes of each signature meet the one among them that shares most.
+    Where that leaves classes of one signature apart, their shown parts meet in
+    blocks, and the whole sets only of pairs that share enough of those.
+    """
+    zero = F.lit(0).cast("long")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / block_sets), F.ceil(F.sum("n") / block_values)).alias("parts")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """Of pairs (hub, cls, n) those that are linked."""
+        per_hub = pairs.groupBy("hub").agg(parts)
+        others = pairs.drop("n").join(per_hub, "hub").select(F.col("hub").alias("g"), zero.alias("h"), F.pmod(F.xxhash64("cls"), F.col("parts")).alias("k"), F.lit(2).cast("long").alias("side"), "cls", F.col("cls").alias("component"))
+        centres = per_hub.select(F.col("hub").alias("g"), zero.alias("h"), F.explode(F.sequence(zero, F.col("parts") - 1)).alias("k"), F.lit(1).cast("long").alias("side"), F.col("hub").alias("cls"), F.col("hub").alias("component"))
+        rows = others.unionByName(centres).join(sets, "cls").select(*MEET.names)
+        return rows.groupBy("g", "k").applyInArrow(_meet(like), PAIR)
+
+    weight = postings.groupBy("cls").agg(F.count(F.lit(1)).alias("weight"))
+    met = postings.groupBy("token").agg(F.count(F.lit(1)).alias("met"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("who")).where("met > 1")
+    # Tokens met by the very same classes are one.
+    tokens = met.groupBy("met", "who").agg(F.min("token").alias("token")).select("token")
+    postings = kept(postings.join(tokens, "token").join(weight, "cls"), "large-postings")
+    hubs = postings.groupBy("token").agg(F.max(F.struct("weight", "cls"))["cls"].alias("hub"))
+    first = kept(compared(postings.join(hubs, "token").where("cls <> hub").select("hub", "cls", "n").distinct()), "hub-links")
+
+    labels = components(first)
+    placed = kept(postings.join(labels, postings["cls"] == labels["node"], "left").select("token", "cls", "n", F.coalesce("component", "cls").alias("component")), "placed")
+    open_ = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), parts).where("lo <> hi").select("token", "parts")
+    apart = placed.drop("n").join(open_, "token").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("parts")))
+    apart = apart.withColumn("with", F.explode(F.sequence(zero, F.col("parts") - 1)))
+    side = F.when(F.col("own") == F.col("with"), 0).when(F.col("own") < F.col("with"), 1).otherwise(2).cast("long")
+    apart = apart.select(F.col("token").alias("g"), F.least("own", "with").alias("h"), F.greatest("own", "with").alias("k"), side.alias("side"), "cls", "component")
+    shown = signed.select("cls", "n", F.col("shown").alias("values"))
+    close = apart.join(shown, "cls").select(*MEET.names).groupBy("g", "h", "k").applyInArrow(_meet(ShownLikeness(like.percent)), PAIR)
+    pairs = kept(close.select(F.least("a", "b").alias("hub"), F.greatest("a", "b").alias("cls")).distinct(), "close-pairs")
+    return first.union(kept(compared(pairs.join(signed.select("cls", "n"), "cls").select("hub", "cls", "n")), "close-links"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, block_sets: int = 512, block_values: int = 1 << 18) -> DataFrame:
     """(id, n_shingles, component_id), one row for each document.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a set holds the
@@ -211,18 +261,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         order = np.lexsort((keys, counts, text))
         place = np.arange(len(keys)) - np.repeat(np.concatenate(([0], np.cumsum(shown)[:-1])), shown)
         use = order[(place < most[text]) & (counts[order] > 1)]
-        return pa.table({"token": keys[use].astype(np.int64), "cls": cls[text[use]], "n": n[text[use]]})
+        said = np.split(keys[use], np.flatnonzero(np.diff(text[use])) + 1) if len(use) else []
+        who = np.unique(text[use])
+        edges = np.concatenate(([0], np.cumsum(shown)))
+        common = [keys[edges[k] : edges[k + 1]][counts[edges[k] : edges[k + 1]] > 1] for k in who]
+        return pa.table({"cls": cls[who], "n": n[who], "tokens": pa.array([x.tobytes() for x in said], pa.binary()), "shown": pa.array([x.tobytes() for x in common], pa.binary())})
 
-    # Equal sets say the same; one row for each class and token is left.
-    postings = kept(told(packed, tally(packed), sign, "token long, cls long, n long").distinct(), "postings")
-    weight = postings.groupBy("cls").agg(F.count(F.lit(1)).alias("weight"))
-    met = postings.groupBy("token").agg(F.count(F.lit(1)).alias("met"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("who")).where("met > 1")
-    # Tokens met by the very same classes are one.
-    tokens = met.groupBy("met", "who").agg(F.min("token").alias("token")).select("token")
-    postings = kept(postings.join(tokens, "token").join(weight, "cls"), "postings")
-    wanted = postings.select("cls").distinct()
-    reps = members.join(wanted, "cls").groupBy("cls").agg(F.min("id").alias("rep"), F.min("n").alias("n"))
-    reps = reps.where("rep is not null")
+    # Equal sets say the same; one row for each class is left.
+    signed = kept(told(packed, tally(packed), sign, "cls long, n long, tokens binary, shown binary").dropDuplicates(["cls"]), "signed")
+
+    def post(batches):
+        for batch in batches:
+            tokens = [np.frombuffer(t, np.int64) for t in batch["tokens"].to_pylist()]
+            sizes = [len(t) for t in tokens]
+            yield pa.record_batch({"token": np.concatenate(tokens) if tokens else np.zeros(0, np.int64), "cls": np.repeat(np.asarray(batch["cls"]), sizes), "n": np.repeat(np.asarray(batch["n"]), sizes)})
+
+    postings = kept(signed.select("cls", "n", "tokens").mapInArrow(post, "token long, cls long, n long"), "postings")
+    lead = postings.groupBy("token").agg(F.min("cls").alias("lead"))
+    grouped = components(postings.join(lead, "token").select(F.col("cls").alias("a"), F.col("lead").alias("b")).where("a <> b"))
+    wanted = postings.select("cls", "n").distinct().join(grouped, F.col("cls") == F.col("node")).select("cls", "n", F.col("component").alias("g"))
+    bound = wanted.groupBy("g").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("size")).withColumn("small", F.expr(f"sets <= {block_sets} and size <= {block_values}"))
+    wanted = kept(wanted.join(bound.select("g", "small"), "g"), "grouped")
+    reps = members.join(wanted.select("cls"), "cls").groupBy("cls").agg(F.min("id").alias("id")).where("id is not null")
+    reps = few(kept(reps.select("id"), "representatives"))
 
     def whole(rows: pa.Table):
         values, first = shingle_sets(rows["text"].to_pylist(), width)
@@ -230,29 +291,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         out = [values[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)]
         yield pa.table({"cls": cls, "n": np.diff(first).astype(np.int64), "values": pa.array(out, pa.binary())})
 
-    sets = map_batches(texts.join(reps.select(F.col("rep").alias("id")), "id"), whole, T.StructType([T.StructField("cls", T.LongType()), T.StructField("n", T.LongType()), T.StructField("values", T.BinaryType())]), "text")
+    sets = map_batches(texts.join(reps, "id"), whole, T.StructType([T.StructField("cls", T.LongType()), T.StructField("n", T.LongType()), T.StructField("values", T.BinaryType())]), "text")
     sets = kept(sets.dropDuplicates(["cls"]), "sets")
 
-    hubs = postings.groupBy("token").agg(F.max(F.struct("weight", "cls"))["cls"].alias("hub"))
-    pairs = postings.join(hubs, "token").where("cls <> hub").select("hub", "cls", "n").distinct()
-    per_hub = pairs.groupBy("hub").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_sets), F.ceil(F.sum("n") / block_values)).alias("parts"))
-    others = pairs.drop("n").join(per_hub, "hub").select(F.col("hub").alias("g"), F.lit(0).cast("long").alias("h"), F.pmod(F.xxhash64("cls"), F.col("parts")).alias("k"), F.lit(2).cast("long").alias("side"), "cls", F.col("cls").alias("component"))
-    centres = per_hub.select(F.col("hub").alias("g"), F.lit(0).cast("long").alias("h"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("k"), F.lit(1).cast("long").alias("side"), F.col("hub").alias("cls"), F.col("hub").alias("component"))
-    rows = others.unionByName(centres).join(sets, "cls").select(*MEET.names)
-    first = kept(rows.groupBy("g", "k").applyInArrow(_meet(like), "a long, b long"), "links")
-
-    labels = components(first)
-    label = F.coalesce("component", "cls").alias("component")
-    placed = kept(postings.join(labels, postings["cls"] == labels["node"], "left").select("token", "cls", "n", label), "placed")
-    open_ = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.greatest(F.ceil(F.count(F.lit(1)) / block_sets), F.ceil(F.sum("n") / block_values)).alias("parts")).where("lo <> hi").select("token", "parts")
-    block = F.pmod(F.xxhash64("cls"), F.col("parts"))
-    apart = placed.drop("n").join(open_, "token").withColumn("own", block)
-    apart = apart.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    side = F.when(F.col("own") == F.col("with"), 0).when(F.col("own") < F.col("with"), 1).otherwise(2).cast("long")
-    apart = apart.select(F.col("token").alias("g"), F.least("own", "with").alias("h"), F.greatest("own", "with").alias("k"), side.alias("side"), "cls", "component")
-    rest = apart.join(sets, "cls").select(*MEET.names).groupBy("g", "h", "k").applyInArrow(_meet(like), "a long, b long")
-
-    links = first.union(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    zero = F.lit(0).cast("long")
+    together = wanted.where("small").select("g", zero.alias("h"), zero.alias("k"), zero.alias("side"), "cls", F.col("cls").alias("component"))
+    links = kept(together.join(sets, "cls").select(*MEET.names).groupBy("g").applyInArrow(_meet(like), PAIR), "links")
+    large = wanted.where("not small").select("cls")
+    if not large.isEmpty():
+        links = links.union(_large_groups(postings.join(large, "cls"), signed, sets, like, block_sets, block_values))
+    links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     labels = components(links).withColumnRenamed("node", "cls").withColumnRenamed("component", "root")
     rooted = members.join(labels, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = rooted.where("n > 0").groupBy("root").agg(F.min("id").alias("lowest"))

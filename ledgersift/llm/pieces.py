@@ -13,6 +13,7 @@ search.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,10 @@ class Vocabulary:
         self.unknown = min((s for _, s in pieces.values() if s > UNUSED), default=0.0) - 10.0
         # No piece has the mark after another letter: paths meet before marks.
         self.parted = not any(MARK in p.lstrip(MARK) for p in pieces)
+        lengths: dict[str, set[int]] = {}
+        for piece in pieces:
+            lengths.setdefault(piece[-1], set()).add(len(piece))
+        self.ends = {letter: sorted(own, reverse=True) for letter, own in lengths.items()}
         size = max([i for i, _ in pieces.values()] + byte_ids, default=-1) + 1
         self.spelled = [b""] * size
         for piece, (i, _) in pieces.items():
@@ -70,28 +75,33 @@ class StreamingViterbi:
         self.scores = {0: 0.0}  # of positions that a piece can still start from
         self.back: dict[int, tuple[int, tuple[int, ...]]] = {}
         self.done = 0  # everything before is given out
+        self.next = vocabulary.longest  # when to look again where paths meet
 
     def feed(self, letters: str) -> Iterator[int]:
-        longest, pieces = self.v.longest, self.v.pieces
+        longest, pieces, scores, back = self.v.longest, self.v.pieces, self.scores, self.back
+        ends = self.v.ends
         for letter in letters:
-            self.tail = (self.tail + letter)[-longest:]
-            self.at += 1
-            best, way = None, (0, ())
-            for size in range(min(longest, self.at, len(self.tail)), 0, -1):
-                start = self.at - size
-                found = pieces.get(self.tail[-size:])
-                if found is None:
-                    if size > 1:
-                        continue
-                    found = (None, self.v.unknown)
-                score = self.scores[start] + found[1]
+            self.tail = tail = (self.tail + letter)[-longest:]
+            self.at = at = self.at + 1
+            best, way = None, None
+            # Only lengths of pieces that end with this letter, longest first.
+            for size in ends.get(letter, ()):
+                if size <= len(tail):
+                    found = pieces.get(tail[-size:])
+                    if found is not None:
+                        score = scores[at - size] + found[1]
+                        if best is None or score > best:
+                            best, way = score, (at - size, (found[0],))
+            if letter not in pieces:
+                score = scores[at - 1] + self.v.unknown
                 if best is None or score > best:
-                    ids = (found[0],) if found[0] is not None else tuple(self.v.byte_ids[b] for b in letter.encode())
-                    best, way = score, (start, ids)
-            self.scores[self.at], self.back[self.at] = best, way
-            self.scores.pop(self.at - longest, None)
-            if self.at % longest == 0:
+                    best, way = score, (at - 1, tuple(self.v.byte_ids[b] for b in letter.encode()))
+            scores[at], back[at] = best, way
+            scores.pop(at - longest, None)
+            if at >= self.next:
                 yield from self.settle()
+                # Where paths stay apart, look again when twice as much waits.
+                self.next = at + max(longest, at - self.done)
 
     def settle(self) -> Iterator[int]:
         """Give out all ids before the boundary where the surviving paths meet."""
@@ -123,12 +133,12 @@ class Memo(dict):
     """Ids of segments seen before, as bytes. Long segments and, once the memo
     is full, new ones are searched each time."""
 
-    def __init__(self, vocabulary: Vocabulary, size: int = 1 << 18):
+    def __init__(self, vocabulary: Vocabulary, size: int = 1 << 20):
         self.v, self.size = vocabulary, size
 
     def __missing__(self, segment: str) -> bytes:
         search = StreamingViterbi(self.v)
-        ids = np.fromiter((i for part in (search.feed(segment), search.finish()) for i in part), np.int32).tobytes()
+        ids = array("i", [*search.feed(segment), *search.finish()]).tobytes()
         if len(segment) <= 64 and len(self) < self.size:
             self[segment] = ids
         return ids

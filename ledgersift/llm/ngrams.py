@@ -3,7 +3,9 @@
 Equal sets are one class. A class shows the part of its set with the least
 hashes; two sets that are similar enough share a known number of those. How
 often each is shown is counted over the corpus, and the rarest of them become
-signatures: similar sets have a signature in common.
+signatures: similar sets have a signature in common. Of the classes that meet
+another by a signature, whole sets are counted and signed in the same way:
+sets of which too little occurs twice go, the others meet by their rarest.
 
 Classes with a common signature meet in groups. In a group the sets are
 ordered by one order of all their n-grams, common ones first, and stored in a
@@ -277,22 +279,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.record_batch({"token": np.concatenate(tokens) if tokens else np.zeros(0, np.int64), "cls": np.repeat(np.asarray(batch["cls"]), sizes), "n": np.repeat(np.asarray(batch["n"]), sizes)})
 
     postings = kept(signed.select("cls", "n", "tokens").mapInArrow(post, "token long, cls long, n long"), "postings")
-    lead = postings.groupBy("token").agg(F.min("cls").alias("lead"))
-    grouped = components(postings.join(lead, "token").select(F.col("cls").alias("a"), F.col("lead").alias("b")).where("a <> b"))
-    wanted = postings.select("cls", "n").distinct().join(grouped, F.col("cls") == F.col("node")).select("cls", "n", F.col("component").alias("g"))
-    bound = wanted.groupBy("g").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("size")).withColumn("small", F.expr(f"sets <= {block_sets} and size <= {block_values}"))
-    wanted = kept(wanted.join(bound.select("g", "small"), "g"), "grouped")
-    reps = members.join(wanted.select("cls"), "cls").groupBy("cls").agg(F.min("id").alias("id")).where("id is not null")
+    met = postings.groupBy("token").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("token")
+    wanted = postings.join(met, "token").select("cls").distinct()
+    reps = members.join(wanted, "cls").groupBy("cls").agg(F.min("id").alias("id")).where("id is not null")
     reps = few(kept(reps.select("id"), "representatives"))
 
-    def whole(rows: pa.Table):
+    def whole(rows: pa.Table) -> dict:
         values, first = shingle_sets(rows["text"].to_pylist(), width)
+        n = np.diff(first)
         cls = classes_of(values, first)
-        out = [values[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)]
-        yield pa.table({"cls": cls, "n": np.diff(first).astype(np.int64), "values": pa.array(out, pa.binary())})
+        one = np.unique(cls, return_index=True)[1]
+        keys = [values[first[k] : first[k + 1]] for k in one]
+        return {"n": int(n[one].sum()), "classes": cls[one].tobytes(), "sizes": n[one].astype(np.int64).tobytes(), "keys": np.concatenate(keys).tobytes() if keys else b""}
+
+    candidates = kept(pack(texts.join(reps, "id"), whole, "n long, classes binary, sizes binary, keys binary"), "candidates")
 
-    sets = map_batches(texts.join(reps, "id"), whole, T.StructType([T.StructField("cls", T.LongType()), T.StructField("n", T.LongType()), T.StructField("values", T.BinaryType())]), "text")
-    sets = kept(sets.dropDuplicates(["cls"]), "sets")
+    def sign_again(row: dict, counts: np.ndarray, _) -> pa.Table:
+        """Whole sets: those of which enough is shared at all, signed by their rarest."""
+        n, cls, keys = np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["classes"], np.int64), np.frombuffer(row["keys"], U64)
+        text = np.repeat(np.arange(len(n)), n)
+        common = counts > 1
+        enough = np.bincount(text[common], minlength=len(n)) >= like.least(n)
+        order = np.lexsort((keys, counts, text))
+        place = np.arange(len(keys)) - np.repeat(np.cumsum(n) - n, n)
+        use = order[(place <= (n - like.least(n))[text]) & common[order] & enough[text]]
+        first = np.concatenate(([0], np.cumsum(n)))
+        who = np.flatnonzero(enough & (np.bincount(text[use], minlength=len(n)) > 0))
+        tokens = np.split(keys[use], np.flatnonzero(np.diff(text[use])) + 1) if len(use) else []
+        values = [keys[first[k] : first[k + 1]][common[first[k] : first[k + 1]]] for k in who]
+        return pa.table({"cls": cls[who], "n": n[who], "tokens": pa.array([x.tobytes() for x in tokens], pa.binary()), "values": pa.array([x.tobytes() for x in values], pa.binary())})
+
+    sets = kept(told(candidates, tally(candidates), sign_again, "cls long, n long, tokens binary, values binary").dropDuplicates(["cls"]), "sets")
+    postings = kept(sets.select("cls", "n", "tokens").mapInArrow(post, "token long, cls long, n long"), "postings")
+    sets = sets.drop("tokens")
+    lead = postings.groupBy("token").agg(F.min("cls").alias("lead"))
+    grouped = components(postings.join(lead, "token").select(F.col("cls").alias("a"), F.col("lead").alias("b")).where("a <> b"))
+    wanted = sets.select("cls", "n").join(grouped, F.col("cls") == F.col("node")).select("cls", "n", F.col("component").alias("g"))
+    bound = wanted.groupBy("g").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("size")).withColumn("small", F.expr(f"sets <= {block_sets} and size <= {block_values}"))
+    wanted = kept(wanted.join(bound.select("g", "small"), "g"), "grouped")
 
     zero = F.lit(0).cast("long")
     together = wanted.where("small").select("g", zero.alias("h"), zero.alias("k"), zero.alias("side"), "cls", F.col("cls").alias("component"))

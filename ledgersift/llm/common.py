@@ -31,6 +31,14 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few(small: DataFrame, limit: int = 16 << 20) -> DataFrame:
+    """A kept table with long and binary columns, to be broadcast in a join if
+    its rows measure at most ``limit`` bytes; else as it is, to be shuffled."""
+    sizes = [F.coalesce(F.length(c), F.lit(0)) if kind == "binary" else F.lit(16) for c, kind in small.dtypes]
+    measured = small.agg(F.sum(sum(sizes, F.lit(16)))).first()[0] or 0
+    return F.broadcast(small) if measured <= limit else small
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """The rows without columns of these names, in whatever case."""
     taken = {n.lower() for n in names}

@@ -222,19 +222,15 @@ def _large_groups(postings: DataFrame, signed: DataFrame, sets: DataFrame, like:
     return first.union(kept(compared(pairs.join(signed.select("cls", "n"), "cls").select("hub", "cls", "n")), "close-links"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, block_sets: int = 512, block_values: int = 1 << 18) -> DataFrame:
-    """(id, n_shingles, component_id), one row for each document.
+def _marks(columns: list) -> list:
+    """Two numbers that tell rows apart by these columns."""
+    return [F.xxhash64(*columns).alias("mark"), F.xxhash64(F.lit(1), *columns).alias("mark2")]
 
-    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a set holds the
-    distinct ``width``-word shingles, or with fewer words the whole sequence as
-    one. Documents link when 100 * intersection >= ``percent`` * union.
-    component_id is the least id that links lead to. A text that is null or has
-    no word has an empty set and is linked with nothing: its component is its
-    own id. Repeated rows come out as often as they come in. A null id counts as
-    larger than all others: its component is another id or, alone, null.
-    """
+
+def _rooted(texts: DataFrame, width: int, percent: int, block_sets: int, block_values: int) -> DataFrame:
+    """(id, mark, mark2, n, cls, root) for each of the rows (id, text, mark,
+    mark2): linked classes have the same root."""
     like = Likeness(percent)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def show(rows: pa.Table) -> dict:
         values, first = shingle_sets(rows["text"].to_pylist(), width)
@@ -243,18 +239,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         shown = like.shown(n)
         at = np.repeat(first[:-1] - np.concatenate(([0], np.cumsum(shown)[:-1])), shown) + np.arange(shown.sum())
         ids = rows["id"]
-        return {"n": int(shown.sum()), "ids": np.asarray(ids.fill_null(0)).astype(np.int64).tobytes(), "no_id": np.asarray(ids.is_null()).astype(np.uint8).tobytes(), "sizes": n.astype(np.int64).tobytes(), "classes": cls.tobytes(), "keys": values[at].tobytes()}
+        marks = {c: np.asarray(rows[m]).astype(np.int64).tobytes() for c, m in (("marks", "mark"), ("marks2", "mark2"))}
+        return {"n": int(shown.sum()), **marks, "ids": np.asarray(ids.fill_null(0)).astype(np.int64).tobytes(), "no_id": np.asarray(ids.is_null()).astype(np.uint8).tobytes(), "sizes": n.astype(np.int64).tobytes(), "classes": cls.tobytes(), "keys": values[at].tobytes()}
 
-    packed = kept(pack(texts, show, "n long, ids binary, no_id binary, sizes binary, classes binary, keys binary"), "shown")
+    packed = kept(pack(texts, show, "n long, marks binary, marks2 binary, ids binary, no_id binary, sizes binary, classes binary, keys binary"), "shown")
 
     def unpack(batches):
         for batch in batches:
             for k in range(batch.num_rows):
                 none = np.frombuffer(batch["no_id"][k].as_py(), np.uint8).astype(bool)
-                ids, n, cls = (np.frombuffer(batch[c][k].as_py(), np.int64) for c in ("ids", "sizes", "classes"))
-                yield pa.record_batch({"id": pa.array(ids, mask=none), "n": n, "cls": cls})
+                ids, mark, mark2, n, cls = (np.frombuffer(batch[c][k].as_py(), np.int64) for c in ("ids", "marks", "marks2", "sizes", "classes"))
+                yield pa.record_batch({"id": pa.array(ids, mask=none), "mark": mark, "mark2": mark2, "n": n, "cls": cls})
 
-    members = packed.select("ids", "no_id", "sizes", "classes").mapInArrow(unpack, "id long, n long, cls long")
+    members = packed.select("ids", "no_id", "marks", "marks2", "sizes", "classes").mapInArrow(unpack, "id long, mark long, mark2 long, n long, cls long")
 
     def sign(row: dict, counts: np.ndarray, _) -> pa.Table:
         n, cls, keys = np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["classes"], np.int64), np.frombuffer(row["keys"], U64)
@@ -326,17 +323,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = links.union(_large_groups(postings.join(large, "cls"), signed, sets, like, block_sets, block_values))
     links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     labels = components(links).withColumnRenamed("node", "cls").withColumnRenamed("component", "root")
-    rooted = members.join(labels, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    return members.join(labels, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, block_sets: int = 512, block_values: int = 1 << 18) -> DataFrame:
+    """(id, n_shingles, component_id), one row for each document.
+
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a set holds the
+    distinct ``width``-word shingles, or with fewer words the whole sequence as
+    one. Documents link when 100 * intersection >= ``percent`` * union.
+    component_id is the least id that links lead to. A text that is null or has
+    no word has an empty set and is linked with nothing: its component is its
+    own id. Repeated rows come out as often as they come in. A null id counts as
+    larger than all others: its component is another id or, alone, null.
+    """
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rooted = _rooted(texts.select("id", "text", *_marks(["id", "text"])), width, percent, block_sets, block_values)
     least = rooted.where("n > 0").groupBy("root").agg(F.min("id").alias("lowest"))
     out = rooted.join(least, "root", "left")
     return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """One document of each component, the one with the least id; documents
-    without words all stay. Of rows that repeat an id, one stays."""
-    found = near_duplicates(docs, id_col, text_col, **settings)
-    stay = found.where(F.col("id").isNull() | (F.col("id") == F.col("component_id"))).select(F.col("id").alias("_stay")).distinct()
-    base = without(docs, "_stay")
-    one = base.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("_stay")), "left_semi")
-    return one.dropDuplicates([id_col])
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, block_sets: int = 512, block_values: int = 1 << 18) -> DataFrame:
+    """One row of each component; rows without words all stay.
+
+    Decided for each row by its text, never by its id: different documents that
+    share an id, or have none, all stay. Of a component the row with the
+    least id stays, null being larger than all others; among those the one
+    whose columns have the least hash. Of rows alike in all columns one stays.
+    """
+    docs = without(docs, "_mark", "_mark2")
+    # Maps have no hash.
+    columns = [F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in ((f"`{c}`", k) for c, k in docs.dtypes)]
+    own = {"id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("string")}
+    texts = docs.select(*[c.alias(n) for n, c in own.items()], *_marks(columns))
+    rooted = _rooted(texts, width, percent, block_sets, block_values)
+    first = rooted.where("n > 0").groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "mark2")).alias("m"))
+    stay = first.select(F.col("m.mark").alias("_mark"), F.col("m.mark2").alias("_mark2"))
+    said = F.coalesce(own["text"].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    marked = docs.withColumns(dict(zip(("_mark", "_mark2"), _marks(columns), strict=True)))
+    one = marked.where(said).dropDuplicates(["_mark", "_mark2"]).join(stay, ["_mark", "_mark2"], "left_semi")
+    return one.drop("_mark", "_mark2").unionByName(docs.where(~said))

@@ -229,7 +229,8 @@ def _marks(columns: list) -> list:
 
 def _rooted(texts: DataFrame, width: int, percent: int, block_sets: int, block_values: int) -> DataFrame:
     """(id, mark, mark2, n, cls, root) for each of the rows (id, text, mark,
-    mark2): linked classes have the same root."""
+    mark2): linked classes have the same root. Rows are told by their marks,
+    which are never null, so that rows without an id link like all others."""
     like = Likeness(percent)
 
     def show(rows: pa.Table) -> dict:
@@ -278,8 +279,11 @@ def _rooted(texts: DataFrame, width: int, percent: int, block_sets: int, block_v
     postings = kept(signed.select("cls", "n", "tokens").mapInArrow(post, "token long, cls long, n long"), "postings")
     met = postings.groupBy("token").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("token")
     wanted = postings.join(met, "token").select("cls").distinct()
-    reps = members.join(wanted, "cls").groupBy("cls").agg(F.min("id").alias("id")).where("id is not null")
-    reps = few(kept(reps.select("id"), "representatives"))
+    reps = members.join(wanted, "cls").groupBy("cls").agg(F.min(F.struct("mark", "mark2")).alias("m")).select("m.mark", "m.mark2")
+    kept_reps = kept(reps, "representatives")
+    reps = few(kept_reps)
+    # Rows alike in their marks are one before a shuffle; a broadcast moves none.
+    asked = texts.drop("id") if reps is not kept_reps else texts.drop("id").dropDuplicates(["mark", "mark2"])
 
     def whole(rows: pa.Table) -> dict:
         values, first = shingle_sets(rows["text"].to_pylist(), width)
@@ -289,7 +293,7 @@ def _rooted(texts: DataFrame, width: int, percent: int, block_sets: int, block_v
         keys = [values[first[k] : first[k + 1]] for k in one]
         return {"n": int(n[one].sum()), "classes": cls[one].tobytes(), "sizes": n[one].astype(np.int64).tobytes(), "keys": np.concatenate(keys).tobytes() if keys else b""}
 
-    candidates = kept(pack(texts.join(reps, "id"), whole, "n long, classes binary, sizes binary, keys binary"), "candidates")
+    candidates = kept(pack(asked.join(reps, ["mark", "mark2"]), whole, "n long, classes binary, sizes binary, keys binary"), "candidates")
 
     def sign_again(row: dict, counts: np.ndarray, _) -> pa.Table:
         """Whole sets: those of which enough is shared at all, signed by their rarest."""

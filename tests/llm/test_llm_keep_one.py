@@ -3,7 +3,7 @@
 import random
 from collections import Counter
 
-from ledgersift.llm.ngrams import keep_one
+from ledgersift.llm.ngrams import keep_one, near_duplicates
 from test_llm_copies import brute_sets, documents, near
 
 
@@ -43,3 +43,20 @@ def test_clean_documents_stay_whatever_their_id(spark):
         again = keep_one(documents(spark, rows[::-1]), width=width, percent=70).collect()
         assert sorted(map(tuple, again), key=str) == sorted(found, key=str)
     assert keep_one(documents(spark, [])).collect() == []
+
+
+def test_near_copies_without_an_id_link(spark):
+    """A chain 1 - null - null - 2 whose middle rows are no exact copies."""
+    rng = random.Random(5)
+    text = words(rng, 80)
+    chain = []
+    for i in (1, None, None, 2):
+        chain.append((i, " ".join(text)))
+        text = text[1:] + words(rng, 1)
+        text = text[1:] + words(rng, 1)
+    rows = [*chain, (None, " ".join(words(rng)))]
+    for block in (512, 2):
+        found = near_duplicates(documents(spark, rows), width=4, percent=90, block_sets=block)
+        got = sorted([(r.id, r.n_shingles, r.component_id) for r in found.collect()], key=str)
+        assert got == brute_sets(rows, 4, 90)
+        assert [c for _, _, c in got].count(1) == 4

@@ -6,6 +6,8 @@ counted over the corpus, and only the surroundings of anchors that occur twice
 are looked at again. They are dealt to shards by anchor, where equal strings
 meet, and each shard is suffix-sorted by induction. Strings of the given
 length that are repeated share it as a prefix with a neighbour in that order.
+An anchor whose surroundings exceed a shard is not sorted: its strings are
+counted over the corpus by two hashes.
 """
 
 from __future__ import annotations
@@ -19,10 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgersift.llm.blocks import pack, tally, told
-from ledgersift.llm.common import _BYTE, BASE, U64, kept, map_batches, merged, plus, prefix_hash, span_hash, without
+from ledgersift.llm.common import _BYTE, BASE, U64, few, kept, map_batches, merged, mix, plus, prefix_hash, span_hash, without
 from ledgersift.llm.induce import suffix_order
 from ledgersift.llm.recompress import SPANS, per_text, row_keys
 
+OTHER = 0xC2B2AE3D27D4EB4F  # odd multiplier of a second hash
 GRAM = 64  # bytes hashed at an anchor, at most a sixth of the length sought
 
 
@@ -97,6 +100,67 @@ def _sorted_starts(parts: list[bytes], length: int, budget: int) -> list[np.ndar
     return [flag[f : f + s - length + 1] for f, s in zip(first, size, strict=True)]
 
 
+def _spans(flag: np.ndarray, length: int) -> bytes:
+    """The bytes [start, end) covered by the flagged starts."""
+    edge = np.diff(np.concatenate(([0], flag.astype(np.int8), [0])))
+    return np.stack((np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + length - 1), axis=1).astype(np.int64).tobytes()
+
+
+def by_heat(parts: DataFrame, shard_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """The parts of anchors that fit a shard, and those of all others."""
+    heat = parts.groupBy("anchor").agg(F.sum(F.length("bytes")).alias("size")).where(F.col("size") > shard_bytes).select("anchor")
+    heat = few(kept(heat, "hot-anchors"))
+    return parts.join(heat, "anchor", "left_anti"), parts.join(heat, "anchor")
+
+
+def hot_repeats(parts: DataFrame, length: int) -> DataFrame:
+    """(anchor, part, spans) of the parts of hot anchors, in whatever task they are.
+
+    Their strings are not sorted but counted over the corpus by a 64-bit
+    hash, and those that occur twice by another: repeated are those that do by
+    both.
+    """
+
+    def starts(sizes: np.ndarray) -> np.ndarray:
+        """Where the strings start among the joined bytes of the parts."""
+        first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+        spare = sizes - length + 1
+        return np.repeat(first - (np.cumsum(spare) - spare), spare) + np.arange(spare.sum())
+
+    def hashes(data: bytes, start: np.ndarray, base: int) -> np.ndarray:
+        raw = np.frombuffer(data, np.uint8)
+        return span_hash(prefix_hash(_BYTE[raw] if base == BASE else mix(_BYTE)[raw], base), start, start + length, base)
+
+    def find(rows: pa.Table) -> dict:
+        data = rows["bytes"].to_pylist()
+        sizes, whole = np.array([len(d) for d in data], np.int64), b"".join(data)
+        keys = hashes(whole, starts(sizes), BASE)
+        again = np.asarray(rows["n"]) > 1
+        return {"n": len(keys), "anchors": np.asarray(rows["anchor"], np.int64).tobytes(), "parts": b"".join(rows["part"].to_pylist()), "again": again.tobytes(), "sizes": sizes.tobytes(), "texts": whole, "keys": keys.tobytes()}
+
+    fields = "n long, anchors binary, parts binary, again binary, sizes binary"
+    packed = kept(pack(parts, find, f"{fields}, texts binary, keys binary", "bytes"), "hot-strings")
+
+    def check(row: dict, counts: np.ndarray, _) -> pa.Table:
+        left = np.flatnonzero(counts > 1)
+        keys = hashes(row["texts"], starts(np.frombuffer(row["sizes"], np.int64))[left], OTHER)
+        out = {"batch": [row["batch"]], "n": [len(left)], **{c: [row[c]] for c in ("anchors", "parts", "again", "sizes")}, "left": [left.astype(np.int32).tobytes()], "keys": [keys.tobytes()]}
+        return pa.table({c: pa.array(v, pa.int64() if c in ("batch", "n") else pa.binary()) for c, v in out.items()})
+
+    again = kept(told(packed, tally(packed), check, f"batch long, {fields}, left binary, keys binary"), "hot-strings-again")
+
+    def flags(row: dict, counts: np.ndarray, _) -> pa.Table:
+        spare = np.frombuffer(row["sizes"], np.int64) - length + 1
+        flag = np.repeat(np.frombuffer(row["again"], bool), spare)
+        flag[np.frombuffer(row["left"], np.int32)[counts > 1]] = True
+        spans = [_spans(f, length) for f in np.split(flag, np.cumsum(spare)[:-1])]
+        parts = [row["parts"][k : k + 16] for k in range(0, len(row["parts"]), 16)]
+        out = pa.table({"anchor": np.frombuffer(row["anchors"], np.int64), "part": pa.array(parts, pa.binary()), "spans": pa.array(spans, pa.binary())})
+        return out.filter(pa.array([len(x) > 0 for x in spans]))
+
+    return told(again, tally(again), flags, "anchor long, part binary, spans binary")
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, shard_bytes: int = 1 << 20, budget: int = 64 << 20) -> DataFrame:
     """(_row, spans): for each text the bytes [start, end) covered by a string of
     ``length`` bytes that also starts elsewhere."""
@@ -142,19 +206,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("part", T.BinaryType()), T.StructField("_row", T.LongType()), T.StructField("start", T.LongType()), T.StructField("bytes", T.BinaryType())])
     pieces = kept(map_batches(asked, segments, schema, "text", 1 << 20), "segments")
     parts = kept(pieces.groupBy("anchor", "part").agg(F.count(F.lit(1)).alias("n"), F.max("bytes").alias("bytes")), "parts")
+    parts, hot = by_heat(parts, shard_bytes)
     total = parts.agg(F.sum(F.length("bytes"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
 
     def order(rows: pa.Table) -> pa.Table:
         flags = repeated_starts(rows["bytes"].to_pylist(), np.asarray(rows["anchor"]), np.asarray(rows["n"]) > 1, length, budget)
-        spans = []
-        for flag in flags:
-            edge = np.diff(np.concatenate(([0], flag.astype(np.int8), [0])))
-            spans.append(np.stack((np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + length - 1), axis=1).astype(np.int64).tobytes())
+        spans = [_spans(flag, length) for flag in flags]
         out = pa.table({"anchor": rows["anchor"], "part": rows["part"], "spans": pa.array(spans, pa.binary())})
         return out.filter(pa.array([len(s) > 0 for s in spans]))
 
     sorted_ = parts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInArrow(order, "anchor long, part binary, spans binary")
+    if not hot.isEmpty():
+        sorted_ = sorted_.union(hot_repeats(hot, length))
     hits = pieces.select("anchor", "part", "_row", "start").join(kept(sorted_, "repeats"), ["anchor", "part"]).select("_row", "start", "spans")
 
     def gather(batches):
@@ -197,7 +261,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     A null text has no bytes, as has an empty one. Rows alike in all columns
     are repeats of each other. Strings are compared by their bytes within a
-    shard; copies of a whole segment are told by a 128-bit hash.
+    shard; copies of a whole segment are told by a 128-bit hash, and the strings of an
+    anchor whose surroundings exceed ``shard_bytes`` by two of 64 bits.
     """
     spans = repeated_spans(docs, id_col, text_col, length, shard_bytes, budget).withColumnRenamed("_row", "_key")
     added = [T.StructField("kept_bytes", T.BinaryType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("removed_spans", SPANS)]

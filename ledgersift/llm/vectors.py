@@ -3,10 +3,12 @@
 Vectors of one label are dealt to overlapping shards, each to its nearest two
 of some centres. In every shard a flat graph is built: a vector's out-edges are
 pruned so that none is much nearer to another kept neighbour than to the vector
-itself. The adjacency lists of a vector's shards are united. In each shard every
-vector is then looked up from the shard's medoid by greedy search, which goes on
-around what it finds as long as that lies within a widened range. Pairs found
-are verified in double precision.
+itself. Every vector is then looked up from its own node and spread ones by
+greedy search, which goes on around what it finds as long as that lies within a
+widened range; where queries compared with all show that links were missed, the
+shard is searched exactly. A shard too large for a task is split into parts, and
+different parts are compared in blocks. Pairs are verified in double precision
+and counted in the first shard that both vectors share.
 """
 
 from __future__ import annotations
@@ -67,8 +69,10 @@ def pruned(x: np.ndarray, node: int, near: np.ndarray, degree: int, alpha: float
 
 def flat_graph(x: np.ndarray, degree: int = 24, alpha: float = 1.2, candidates: int = 64, rows: int = 256) -> list[list[int]]:
     """Adjacency lists of a shard. Candidates of a node are its nearest and a
-    few far ones, which keep the graph connected; edges go both ways, pruned."""
+    few far ones; edges go both ways, pruned. Some far edges are kept whatever
+    the near ones are, so that a large group of near copies is not cut off."""
     n = len(x)
+    spread: list[set[int]] = [set() for _ in range(n)]
     rng = np.random.default_rng(n)
     edges: list[set[int]] = [set() for _ in range(n)]
     for a in range(0, n, rows):
@@ -77,20 +81,23 @@ def flat_graph(x: np.ndarray, degree: int = 24, alpha: float = 1.2, candidates:
         near = np.argpartition(-alike, take - 1, axis=1)[:, :take]
         for k in range(len(alike)):
             far = rng.integers(0, n, 8)
+            spread[a + k].update(int(j) for j in far[:4] if j != a + k)
             edges[a + k].update(pruned(x, a + k, np.unique(np.concatenate((near[k], far))), degree, alpha))
     for node in range(n):
         for other in list(edges[node]):
             edges[other].add(node)
-    return [pruned(x, k, np.array(sorted(e)), 2 * degree, alpha) if len(e) > 2 * degree else sorted(e) for k, e in enumerate(edges)]
+    near = [pruned(x, k, np.array(sorted(e)), 2 * degree, alpha) if len(e) > 2 * degree else e for k, e in enumerate(edges)]
+    return [sorted(spread[k].union(e)) for k, e in enumerate(near)]
 
 
-def in_range(x: np.ndarray, edges: list[np.ndarray], start: int, query: np.ndarray, bound: float, beam: int = 32) -> np.ndarray:
+def in_range(x: np.ndarray, edges: list[np.ndarray], start: np.ndarray, query: np.ndarray, bound: float, beam: int = 32) -> np.ndarray:
     """Nodes whose product with the query is at least ``bound``: greedy search
-    from ``start`` with a beam, which then takes in all that lies in range."""
+    from the nodes ``start`` with a beam, which then takes in all that lies in range."""
     seen = np.zeros(len(x), bool)
     seen[start] = True
-    ids, score = np.array([start]), np.array([x[start] @ query])
-    open_ = np.array([True])
+    ids, score = start, x[start] @ query
+    order = np.argsort(-score, kind="stable")
+    ids, score, open_ = ids[order], score[order], np.ones(len(order), bool)
     while open_.any():
         # All open nodes in range at once, else the best open one of the beam.
         todo = np.flatnonzero(open_ & (score >= bound))
@@ -115,39 +122,156 @@ def _vectors(column) -> np.ndarray:
     return unit([np.frombuffer(v, np.float64) for v in column.to_pylist()])
 
 
-def _build(rows: pa.Table) -> pa.Table:
-    ids = np.asarray(rows["id"])
-    edges = flat_graph(_vectors(rows["vector"]))
-    return pa.table({"id": ids, "near": pa.array([ids[e].tolist() for e in edges], pa.list_(pa.int64()))})
+def exact_pairs(x: np.ndarray, y: np.ndarray, bound: float, rows: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """All (i, j) with a product of x[i] and y[j] of at least ``bound``."""
+    found = [np.nonzero(x[a : a + rows] @ y.T >= bound) for a in range(0, len(x), rows)]
+    return np.concatenate([i + k * rows for k, (i, _) in enumerate(found)]), np.concatenate([j for _, j in found])
 
 
-def _search(bound: float):
+def graph_pairs(x: np.ndarray, bound: float, least: float = 0.999, audited: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs i < j of a part, by its graph. Each vector is looked up from its
+    own node, the medoid and spread ones. Spread queries are compared with all
+    of the part; where the share found is below ``least``, all are."""
+    n = len(x)
+    edges = [np.array(e, np.int64) for e in flat_graph(x)]
+    entries = np.append(np.linspace(0, n - 1, min(n, 4)).astype(np.int64), (x @ x.mean(axis=0)).argmax())
+    near = []
+    for k in range(n):
+        own = in_range(x, edges, np.unique(np.append(entries, k)), x[k], bound - WIDER)
+        near.append(own[(x[own] @ x[k] >= bound) & (own != k)])
+    some = np.unique(np.linspace(0, n - 1, min(n, max(audited, n // 100))).astype(np.int64))
+    true = int((x[some] @ x.T >= bound).sum()) - len(some)
+    if sum(len(near[k]) for k in some) < least * true:
+        i, j = exact_pairs(x, x, bound)
+    else:
+        i, j = np.repeat(np.arange(n), [len(e) for e in near]), np.concatenate(near)
+        i, j = np.concatenate((i, j)), np.concatenate((j, i))
+    both = np.unique(i[i < j] * n + j[i < j])
+    return both // n, both % n
+
+
+def met_before(shard: int, near: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether pairs also share a shard of a lower number, where they count."""
+    out = np.zeros(len(i), bool)
+    for a in range(near.shape[1]):
+        lower = near[i, a] < shard
+        for b in range(near.shape[1]):
+            out |= lower & (near[i, a] == near[j, b])
+    return out
+
+
+def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least of the numbers that links lead to."""
+    label = np.arange(n)
+    while len(i):
+        before = label.copy()
+        np.minimum.at(label, i, before[j])
+        np.minimum.at(label, j, before[i])
+        label = label[label]
+        if (label == before).all():
+            break
+    return label
+
+
+def _find(bound: float, pairs: bool):
+    """Links of one part of a shard, or between two of its parts: as they are,
+    or their number at each vector and one vector that they lead to."""
+
     def work(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("id")
-        ids, x = np.asarray(rows["id"]), _vectors(rows["vector"])
-        place = {int(i): k for k, i in enumerate(ids)}
-        edges = [np.array([place[j] for j in near if j in place], np.int64) for near in rows["near"].to_pylist()]
-        medoid = int((x @ x.mean(axis=0)).argmax())
-        a, b = [], []
-        for k in range(len(ids)):
-            for j in in_range(x, edges, medoid, x[k], bound - WIDER):
-                if j != k and x[j] @ x[k] >= bound:
-                    a.append(int(min(ids[k], ids[j])))
-                    b.append(int(max(ids[k], ids[j])))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        ids, x, side, copies = np.asarray(rows["id"]), _vectors(rows["vector"]), np.asarray(rows["side"]), np.asarray(rows["copies"])
+        shard, near = rows["c"][0].as_py(), np.array(rows["near"].to_pylist(), np.int64)
+        if (side == 0).all():
+            i, j = graph_pairs(x, bound)
+        else:
+            a, b = np.flatnonzero(side == 1), np.flatnonzero(side == 2)
+            i, j = exact_pairs(x[a], x[b], bound) if len(a) and len(b) else (a[:0], b[:0])
+            i, j = a[i], b[j]
+        new = ~met_before(shard, near, i, j)
+        i, j = i[new], j[new]
+        if pairs:
+            return pa.table({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
+        others = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
+        root, use = ids[roots(len(ids), i, j)], others > 0
+        return pa.table({"label": rows["label"].filter(pa.array(use)), "id": ids[use], "others": others[use].astype(np.int64), "root": root[use]})
 
     return work
 
 
-def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", bound: float = 0.98, shard_rows: int = 1000, sample_rows: int = 20_000, most_centres: int = 1024) -> tuple[DataFrame, DataFrame]:
-    """(links, members). links: pairs a < b of representatives found with a
-    cosine of ``bound`` or more; members: id, rep, copies for each usable vector.
+PAIRS, SUMS = "a long, b long", "label string, id long, others long, root long"
 
-    Equal vectors of a label are one; the least id represents them. Centres are
-    fitted on a sample of about ``sample_rows`` vectors; every vector is dealt to
-    shards. A label has one centre for each ``shard_rows`` vectors, at most
-    ``most_centres``.
-    """
+
+def _links(reps: DataFrame, sizes: dict, bound: float, width: int, pairs: bool, shard_rows: int, sample_rows: int, most_centres: int) -> DataFrame:
+    """Links found in the shards of the ``width`` nearest centres, as PAIRS or
+    SUMS. Shards of more than twice ``shard_rows`` are split into parts, each
+    of which meets itself and each other one in a task."""
+    total = sum(sizes.values())
+    # Some vectors of the sample for each centre.
+    sample_rows = max(sample_rows, min(4 * most_centres, 4 * total // shard_rows))
+    draw = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(min(1.0, sample_rows / max(total, 1)) * 1_000_000)
+    sample: dict[str, list] = {}
+    for r in reps.where(draw).select("label", "vector").collect():
+        sample.setdefault(r[0], []).append(np.frombuffer(r[1], np.float64))
+    fitted = {}
+    for label, n in sizes.items():
+        some, k = sample.get(label), min(most_centres, -(-n // shard_rows))
+        # With as many shards a vector as centres, one shard does.
+        fitted[label] = centres(unit(some), k, 8 if k <= 1024 else 0) if some and k > width else None
+
+    def deal(batches):
+        for batch in batches:
+            labels = np.array(batch["label"].to_pylist(), object)
+            for label in dict.fromkeys(labels):
+                rows = batch.filter(pa.array(labels == label))
+                near = np.zeros((rows.num_rows, width), np.int64)
+                if fitted.get(label) is not None:
+                    # Numbers that repeat stand for fewer centres than asked for.
+                    best = np.argsort(-(_vectors(rows["vector"]) @ fitted[label].T), axis=1, kind="stable")[:, :width]
+                    near = np.sort(np.concatenate((best, np.repeat(best[:, :1], width - best.shape[1], axis=1)), axis=1), axis=1)
+                lists = pa.array(near.tolist(), pa.list_(pa.int64()))
+                for k in range(width):
+                    own = (near[:, k] != near[:, k - 1]) if k else np.ones(len(near), bool)
+                    yield pa.record_batch([*rows.columns, pa.array(near[:, k]), lists], names=[*rows.schema.names, "c", "near"]).filter(pa.array(own))
+
+    kinds = "id long, label string, vector binary, copies long, c long, near array<long>"
+    shards = kept(reps.select("id", "label", "vector", "copies").mapInArrow(deal, kinds), "shards")
+    parts = shards.groupBy("label", "c").agg(F.ceil(F.count(F.lit(1)) / (2 * shard_rows)).alias("parts"))
+    zero = F.lit(0).cast("long")
+    each = shards.join(parts, ["label", "c"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts"))).withColumn("with", F.explode(F.sequence(zero, F.col("parts") - 1)))
+    side = F.when(F.col("own") == F.col("with"), 0).when(F.col("own") < F.col("with"), 1).otherwise(2).cast("long")
+    tasks = each.select("label", "c", F.least("own", "with").alias("h"), F.greatest("own", "with").alias("k"), side.alias("side"), "id", "copies", "near", "vector")
+    return tasks.groupBy("label", "c", "h", "k").applyInArrow(_find(bound, pairs), PAIRS if pairs else SUMS)
+
+
+def _shortfall(reps: DataFrame, sums: DataFrame, bound: float, least: float, audited: int) -> list[str]:
+    """Labels of which less than ``least`` of the true links was found, judged
+    by the ids divisible by 100, at most about ``audited`` of them."""
+    asked = reps.where("id % 100 = 0")
+    n = asked.count()
+    asked = kept(asked.where(F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1_000_000)) < F.lit(min(1.0, audited / max(n, 1)) * 1_000_000)).select("id", "label", "vector"), "audited")
+    queries: dict[str, list] = {}
+    for r in asked.collect():
+        queries.setdefault(r[1], []).append((r[0], np.frombuffer(r[2], np.float64)))
+    queries = {label: (np.array([i for i, _ in q]), unit([v for _, v in q])) for label, q in queries.items()}
+
+    def compare(batches):
+        for batch in batches:
+            labels = np.array(batch["label"].to_pylist(), object)
+            for label in dict.fromkeys(labels):
+                if label in queries:
+                    rows = batch.filter(pa.array(labels == label))
+                    ids, x = queries[label]
+                    alike = (x @ _vectors(rows["vector"]).T >= bound) & (ids[:, None] != np.asarray(rows["id"])[None, :])
+                    yield pa.record_batch({"label": pa.array([label] * len(ids), pa.string()), "id": pa.array(ids), "true": pa.array(alike @ np.asarray(rows["copies"]))})
+
+    true = reps.mapInArrow(compare, "label string, id long, true long").groupBy("label", "id").agg(F.sum("true").alias("true"))
+    got = sums.groupBy("label", "id").agg(F.sum("others").alias("got"))
+    told = true.join(got, ["label", "id"], "left").groupBy("label").agg(F.sum("true").alias("true"), F.sum(F.coalesce("got", F.lit(0))).alias("got"))
+    return [r[0] for r in told.where(F.col("got") < F.lit(least) * F.col("true")).select("label").collect()]
+
+
+def _prepared(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> tuple[DataFrame, DataFrame, dict]:
+    """(representatives, members, sizes of the labels)."""
     v = F.col(vector_col)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), v.cast("array<double>").alias("v"))
     rows = rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & usable("v"))
@@ -158,40 +282,46 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
     def packed(batches):
         for batch in batches:
-            yield pa.record_batch([batch["id"], batch["label"], pa.array([np.array(x, np.float64).tobytes() for x in batch["v"].to_pylist()], pa.binary())], names=["id", "label", "vector"])
+            yield pa.record_batch([batch["id"], batch["label"], pa.array([np.array(x, np.float64).tobytes() for x in batch["v"].to_pylist()], pa.binary()), batch["copies"]], names=["id", "label", "vector", "copies"])
 
-    reps = rows.join(groups.select(F.col("rep").alias("id"), "label"), ["id", "label"], "left_semi").select("id", "label", "v").dropDuplicates(["id", "label"])
-    reps = kept(reps.mapInArrow(packed, "id long, label string, vector binary"), "vectors")
+    reps = rows.join(groups.select(F.col("rep").alias("id"), "label", "same", "copies"), ["id", "label", "same"]).select("id", "label", "v", "copies").dropDuplicates(["id", "label"])
+    reps = kept(reps.mapInArrow(packed, "id long, label string, vector binary, copies long"), "vectors")
     sizes = {r[0]: r[1] for r in reps.groupBy("label").count().collect()}
-    total = sum(sizes.values())
-    draw = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(min(1.0, sample_rows / max(total, 1)) * 1_000_000)
-    sample: dict[str, list] = {}
-    for r in reps.where(draw).select("label", "vector").collect():
-        sample.setdefault(r[0], []).append(np.frombuffer(r[1], np.float64))
-    fitted = {}
-    for label, n in sizes.items():
-        some = sample.get(label)
-        k = min(most_centres, -(-n // shard_rows))
-        fitted[label] = centres(unit(some), k) if some and k > 1 else None
+    return reps, members, sizes
 
-    def deal(batches):
-        for batch in batches:
-            out = {"shard": [], "id": [], "vector": []}
-            for i, label, vector in zip(batch["id"].to_pylist(), batch["label"].to_pylist(), batch["vector"].to_pylist(), strict=True):
-                near = [0]
-                if fitted.get(label) is not None:
-                    near = np.argsort(-(fitted[label] @ unit([np.frombuffer(vector, np.float64)])[0]), kind="stable")[:2].tolist()
-                for c in near:
-                    out["shard"].append(f"{label}/{c}")
-                    out["id"].append(i)
-                    out["vector"].append(vector)
-            yield pa.record_batch([pa.array(out["shard"], pa.string()), pa.array(out["id"], pa.int64()), pa.array(out["vector"], pa.binary())], names=list(out))
 
-    shards = kept(reps.mapInArrow(deal, "shard string, id long, vector binary"), "shards")
-    lists = shards.groupBy("shard").applyInArrow(_build, "id long, near array<long>")
-    united = kept(lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "adjacency")
-    found = shards.join(united, "id").groupBy("shard").applyInArrow(_search(bound), "a long, b long").distinct()
-    return kept(found, "links"), members
+def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", bound: float = 0.98, shard_rows: int = 1000, sample_rows: int = 20_000, most_centres: int = 1 << 16) -> tuple[DataFrame, DataFrame]:
+    """(links, members). links: pairs a < b of representatives found with a
+    cosine of ``bound`` or more; members: id, rep, copies for each usable vector.
+
+    Equal vectors of a label are one; the least id represents them. Centres are
+    fitted on a sample of about ``sample_rows`` vectors, or four a centre; every
+    vector is dealt to shards. A label has one centre for each ``shard_rows``
+    vectors, at most ``most_centres``.
+    """
+    reps, members, sizes = _prepared(vectors, id_col, vector_col, label_col)
+    found = _links(reps, sizes, bound, 2, True, shard_rows, sample_rows, most_centres)
+    return kept(found.distinct(), "links"), members
+
+
+def linked_vectors(vectors: DataFrame, id_col: str, vector_col: str, label_col: str, bound: float, shard_rows: int = 1000, sample_rows: int = 20_000, most_centres: int = 1 << 16, least_recall: float = 0.99, audited: int = 2000) -> tuple[DataFrame, DataFrame]:
+    """(sums, members). sums: for representatives the rows linked to them, in
+    one or more rows, and one representative that links lead to.
+
+    Labels whose audit falls below ``least_recall`` are searched again with
+    twice as many shards a vector, in the end all in one.
+    """
+    reps, members, sizes = _prepared(vectors, id_col, vector_col, label_col)
+    width, todo, done = 2, sizes, None
+    while True:
+        some = reps if todo is sizes else reps.where(F.col("label").isin(list(todo)))
+        sums = kept(_links(some, todo, bound, width, False, shard_rows, sample_rows, most_centres), "sums")
+        short = [k for k in _shortfall(some, sums, bound, least_recall, audited) if min(most_centres, -(-sizes[k] // shard_rows)) > width]
+        good = sums.where(~F.col("label").isin(short)) if short else sums
+        done = good if done is None else done.union(good)
+        if not short:
+            return done, members
+        width, todo = 2 * width, {k: sizes[k] for k in short}
 
 
 def dedup_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", bound: float = 0.98, **settings) -> DataFrame:
@@ -204,12 +334,10 @@ def dedup_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
     or rows with a null id. Rows that repeat an id count as one vector if they are
     equal. Columns of the added names are replaced.
     """
-    links, members = near_vectors(vectors, id_col, vector_col, label_col, bound, **settings)
-    copies = members.groupBy("rep").agg(F.max("copies").alias("copies"))
-    both = links.union(links.select(F.col("b"), F.col("a")))
-    linked = both.join(copies, both["b"] == copies["rep"]).groupBy("a").agg(F.sum("copies").alias("others"))
-    roots = components(links)
-    each = members.join(linked, members["rep"] == linked["a"], "left").join(roots, members["rep"] == roots["node"], "left")
+    sums, members = linked_vectors(vectors, id_col, vector_col, label_col, bound, **settings)
+    linked = sums.groupBy(F.col("id").alias("a")).agg(F.sum("others").alias("others"))
+    roots_ = components(sums.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    each = members.join(linked, members["rep"] == linked["a"], "left").join(roots_, members["rep"] == roots_["node"], "left")
     each = each.select(F.col("id").alias("_vec"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id")).dropDuplicates(["_vec"])
     base = without(vectors, "n_links", "component_id", "kept", "_vec")
     key = F.col(id_col).cast("long")

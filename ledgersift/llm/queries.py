@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgersift.llm.alignment import align, score_links
 from ledgersift.llm.chat import format_chats, read_back
 from ledgersift.llm.common import crc_fold, table
 from ledgersift.llm.contamination import find_benchmark
@@ -89,7 +90,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(docs).select("doc_id", "n_bytes", "n_removed", spans.alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    groups = F.when(F.col("token_groups") == "", "").otherwise(F.sha2("token_groups", 256))
+    aligned = align(docs, ids=False, keep_text=False).withColumn("groups_sha256", groups).drop("token_groups")
+    return score_links(aligned).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_sentencepiece, op3_ngram_jaccard, op4_chat_format, op5_substring_dedup, op6_embedding_dedup, op7_language_id, op8_token_counts, op9_decontamination, op10_suffix_dedup)
+    for f in (op1_line_dedup, op2_sentencepiece, op3_ngram_jaccard, op4_chat_format, op5_substring_dedup, op6_embedding_dedup, op7_language_id, op8_token_counts, op9_decontamination, op10_suffix_dedup, op13_token_alignment)
 }

@@ -15,6 +15,8 @@ from ledgersift.llm.ngrams import near_duplicates
 from ledgersift.llm.pieces import decode_pieces, encode_pieces
 from ledgersift.llm.recompress import dedup_passages
 from ledgersift.llm.substrings import dedup_substrings
+from ledgersift.llm.toxicity import fit as fit_toxicity
+from ledgersift.llm.toxicity import score_toxicity
 from ledgersift.llm.vectors import dedup_vectors
 from ledgersift.llm.wordpiece import token_counts
 
@@ -90,6 +92,13 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(docs).select("doc_id", "n_bytes", "n_removed", spans.alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), fold != 2)
+    return score_toxicity(docs, model).select("doc_id", (fold == 2).alias("held_out"), "score", "predicted")
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     groups = F.when(F.col("token_groups") == "", "").otherwise(F.sha2("token_groups", 256))
@@ -99,5 +108,5 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_sentencepiece, op3_ngram_jaccard, op4_chat_format, op5_substring_dedup, op6_embedding_dedup, op7_language_id, op8_token_counts, op9_decontamination, op10_suffix_dedup, op13_token_alignment)
+    for f in (op1_line_dedup, op2_sentencepiece, op3_ngram_jaccard, op4_chat_format, op5_substring_dedup, op6_embedding_dedup, op7_language_id, op8_token_counts, op9_decontamination, op10_suffix_dedup, op12_toxicity, op13_token_alignment)
 }

@@ -97,8 +97,8 @@ class Model:
 
 
 def text_scores(odds: np.ndarray, bias: float, texts: list[str | None]) -> np.ndarray:
-    """Probability of class 1 for each text. Arrays are made for a chunk of
-    bytes at a time, however long a text is."""
+    """Probability of class 1 for each text; 0 without words. Arrays are made
+    for a chunk of bytes at a time, however long a text is."""
     raw, at = joined(texts)
     number, begins = word_numbers(raw)
     total, count = np.zeros(len(begins)), np.zeros(len(begins))
@@ -109,17 +109,18 @@ def text_scores(odds: np.ndarray, bias: float, texts: list[str | None]) -> np.nd
             own = number[place] - lo
             total[lo:hi] += np.bincount(own, odds[gram], hi - lo)
             count[lo:hi] += np.bincount(own, minlength=hi - lo)
-    means, edge, _ = windows(total / np.maximum(count, 1), np.searchsorted(begins, at))
+    first = np.searchsorted(begins, at)
+    means, edge, _ = windows(total / np.maximum(count, 1), first)
     worst = np.maximum.reduceat(means, edge) + bias if len(texts) else means
-    return 1 / (1 + np.exp(-np.clip(worst, -30, 30)))
+    return np.where(np.diff(first) == 0, 0.0, 1 / (1 + np.exp(-np.clip(worst, -30, 30))))
 
 
 def train(texts: list[str], toxic: np.ndarray, rounds: int = 100, rate: float = 0.15, seed: int = 11) -> Model:
     """Vectors and softmax by Adam over all texts at once.
 
     Steps are damped where slopes are small, so that n-grams of one text do
-    not move as far as those that many texts share. Both labels
-    weigh the same."""
+    not move as far as those that many texts share. Both labels weigh the
+    same."""
     rng = np.random.default_rng(seed)
     softmax = rng.normal(0, 1, (2, DIM)) / np.sqrt(DIM)
     model = Model(np.zeros((1 << BITS, DIM)), softmax, np.zeros(2))
@@ -204,7 +205,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", least:
     """Adds score, 0 to 1, and predicted: 1 where it is at least ``least``.
 
     Only the text is read, all of it. A text that is null, empty or white
-    space scores as the model's bias does. Repeated rows get equal answers;
+    space scores 0. Repeated rows get equal answers;
     columns of the added names are replaced, all others kept.
     """
     odds, bias = model.odds(), float(model.bias[1] - model.bias[0])

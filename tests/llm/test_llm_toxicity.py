@@ -46,8 +46,10 @@ def plain_score(model, text):
                     h = h * 257 + c
                 found.append(odds[((((h + n) * X.BASE) % 2**64) >> (64 - X.BITS))])
         scores.append(sum(found) / len(found))
-    width = max(1, min(X.WINDOW, len(scores)))
-    means = [sum(scores[i : i + width]) / width for i in range(len(scores) - width + 1)] if scores else [0.0]
+    if not scores:
+        return 0.0
+    width = min(X.WINDOW, len(scores))
+    means = [sum(scores[i : i + width]) / width for i in range(len(scores) - width + 1)]
     return 1 / (1 + np.exp(-(max(means) + model.bias[1] - model.bias[0])))
 
 

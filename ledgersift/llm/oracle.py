@@ -139,3 +139,38 @@ WITH RECURSIVE usable AS (
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)
 """
+
+ORACLE["op11_prefix_trie"] = r"""
+WITH turns AS (
+    SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p,
+           md5(strlen(role) || ':' || role || text) AS g, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+), ids AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base,
+           xor(list_reduce([ascii(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')],
+               lambda acc, b: list_reduce(range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), xor(acc, b)), 4294967295), 4294967295) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+    SELECT ids.conv_id, 0 AS k, p, g, w FROM ids JOIN turns ON turns.conv_id = base AND p <= h
+    UNION ALL SELECT ids.conv_id, 1, p, g, w FROM ids JOIN turns ON turns.conv_id = ids.conv_id AND p > h
+), placed AS (
+    SELECT conv_id, g, w, row_number() OVER (PARTITION BY conv_id ORDER BY k, p) AS depth FROM rebuilt
+), openings AS (
+    SELECT conv_id, depth, w, string_agg(g, '') OVER (PARTITION BY conv_id ORDER BY depth) AS key FROM placed
+    UNION ALL SELECT conv_id, 0, 0, '' FROM ids
+), nodes AS (
+    SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(w) AS saved FROM openings GROUP BY key, depth
+), ends AS (
+    SELECT key, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS who
+    FROM (SELECT conv_id, arg_max(key, depth) AS key FROM openings GROUP BY conv_id) GROUP BY key
+), kids AS (
+    SELECT left(key, 32 * (depth - 1)) AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), totals AS (
+    SELECT left(key, 32 * d) AS key, sum(leaf) AS n_leaves, sum(saved) AS saved
+    FROM (SELECT key, saved, (n IS NULL)::INT AS leaf, unnest(range(depth + 1)) AS d FROM nodes LEFT JOIN kids USING (key)) GROUP BY 1
+)
+SELECT nodes.conv_id, nodes.depth, up.conv_id AS parent_conv_id, nodes.n_convs, coalesce(n, 0) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(totals.saved AS BIGINT) AS saved_tokens, sha256(coalesce(who, '')) AS ends_sha256
+FROM nodes JOIN totals USING (key) LEFT JOIN kids USING (key) LEFT JOIN ends USING (key)
+LEFT JOIN nodes up ON nodes.depth > 0 AND up.key = left(nodes.key, 32 * (nodes.depth - 1))
+"""

@@ -13,6 +13,7 @@ from ledgersift.llm.language import fit, predict
 from ledgersift.llm.lines import dedup_lines
 from ledgersift.llm.ngrams import near_duplicates
 from ledgersift.llm.pieces import decode_pieces, encode_pieces
+from ledgersift.llm.prefix_trie import as_rows, prefix_trie, turn_paths, with_shared_openings
 from ledgersift.llm.recompress import dedup_passages
 from ledgersift.llm.substrings import dedup_substrings
 from ledgersift.llm.toxicity import fit as fit_toxicity
@@ -92,6 +93,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(docs).select("doc_id", "n_bytes", "n_removed", spans.alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie(as_rows(with_shared_openings(turn_paths(turns))))
+
+
 def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
@@ -108,5 +114,5 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_sentencepiece, op3_ngram_jaccard, op4_chat_format, op5_substring_dedup, op6_embedding_dedup, op7_language_id, op8_token_counts, op9_decontamination, op10_suffix_dedup, op12_toxicity, op13_token_alignment)
+    for f in (op1_line_dedup, op2_sentencepiece, op3_ngram_jaccard, op4_chat_format, op5_substring_dedup, op6_embedding_dedup, op7_language_id, op8_token_counts, op9_decontamination, op10_suffix_dedup, op11_prefix_trie, op12_toxicity, op13_token_alignment)
 }

@@ -3,16 +3,18 @@
 Rows and features go into one table, sorted by key and time, and the last
 feature is carried forward: one shuffle, one sort, no pairs. A window needs
 all rows of its group in one task, so the group must not be a whole heavy
-key. The time line of a heavy key is cut into slices of about equal row
-counts, and each slice starts with a seed, the newest feature before it:
+key. The time lines of heavy keys are therefore dealt out in ranges, sorted by
+key and place, as many as keep a range within a task, and each range starts
+with seeds, the newest feature before it:
 
 * A place on the time line is ``(time, spread)``. Features have spread -1,
   rows a number from 0 on that depends on the row and its input partition.
   Features therefore come before all rows of the same instant, and even a
   single instant with very many rows can be cut.
 * Features of heavy keys are first reduced to one per instant.
-* The cuts are quantiles, read once and held as a bounded literal table, so
-  that all parts of the plan, and tasks run again, see the same cuts.
+* Spark cuts the ranges where the data's own distribution says. What it has
+  dealt is written to the scratch folder, so that all parts of the plan, and
+  tasks run again, see the same ranges.
 
 Rows with a NULL key or time match nothing and are set apart.
 
@@ -32,6 +34,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from ..functions.columns import quoted, time_literal
+from ..session import scratch_dir
 from .heavy import (
     COUNT,
     DEFAULT_POLICY,
@@ -40,12 +43,13 @@ from .heavy import (
     heavy_keys,
     key_table,
     only_heavy,
+    row_bytes,
     without_heavy,
 )
 
 HIT = "__hit"
-SPREAD = 256
 FEATURE = -1
+USUAL = -1  # the range of what is not dealt out
 
 
 def within_ttl(row_time: Column, feature_time: Column, ttl: timedelta | None) -> Column:
@@ -70,7 +74,8 @@ def asof_join(
     """All columns of ``rows`` and a struct ``__hit``: the time and ``columns``
     of the newest feature row with ``feature_time <= row_time``, or NULL.
     One older than ``max_age`` does not count. Unless the policy is off, ``rows``
-    are read for their extent first and must be the same when read again;
+    are read for their extent first and must be the same when read again. Time
+    lines of heavy keys are written to the scratch folder;
     ``layout`` gives what was counted before, for joins with several sources.
 
     Of feature rows at one instant the greatest counts, compared by
@@ -95,15 +100,14 @@ def asof_join(
     alone, asked = asked.filter(unmatched), asked.filter(~unmatched)
     layout = layout or lay_out(rows, keys, row_time, [(features, feature_time, max_age)], policy)
     known = layout.within_reach(known, max_age)
+    line = _line(known, asked, ks)
     if layout.heavy:
-        asked = _place(asked.withColumn("__spread", _spread()), layout.cuts, ks)
-        known = _slice_features(known, key_table(known, ks, layout.heavy), layout.cuts, ks)
-    else:
-        asked, known = (d.withColumn("__slice", F.lit(0)) for d in (asked, known))
-
-    line = known.select(*ks, "__slice", "__t", HIT).unionByName(
-        asked.select(*ks, "__slice", "__t", "__row"), allowMissingColumns=True
-    )
+        table = None if layout.many_heavy else key_table(known, ks, layout.heavy)
+        apart = lambda df, pick: df if table is None else pick(df, table, ks)
+        one_per_instant = apart(known, only_heavy).groupBy(*ks, "__t").agg(F.max(HIT).alias(HIT))
+        line = _sliced(_line(one_per_instant, apart(asked, only_heavy), ks), ks, layout.slices)
+        if table is not None:
+            line = line.unionByName(_line(without_heavy(known, table, ks), without_heavy(asked, table, ks), ks))
     # NULL sorts first, so a feature (no row) precedes the rows of its instant.
     so_far = (
         Window.partitionBy(*ks, "__slice")
@@ -124,14 +128,17 @@ class Layout:
 
     first, last  extent of the rows' times; NULL without rows
     near         the rows' keys, to be broadcast; None if there are too many
-    heavy, cuts  keys to be cut into slices, and where
+    heavy        keys whose time lines are dealt out in ranges
+    many_heavy   there may be more of them: all keys are
+    slices       into how many ranges
     """
 
     first: Column | None = None
     last: Column | None = None
     near: DataFrame | None = None
     heavy: Sequence[Row] = ()
-    cuts: DataFrame | None = None
+    many_heavy: bool = False
+    slices: int = 1
 
     def within_reach(self, known: DataFrame, max_age: timedelta | None) -> DataFrame:
         """The features some row may find."""
@@ -168,69 +175,55 @@ def lay_out(
     wire, back = _wire(dtype)
     t = F.col("__t")
     per_key = asked.groupBy(*ks).agg(F.min(t).alias("first"), F.max(t).alias("last"))
+    size = F.sum(row_bytes(per_key.select(*ks)).cast("long"))
     extent = per_key.agg(
-        F.count(F.lit(1)).alias("keys"), wire(F.min("first")).alias("first"), wire(F.max("last")).alias("last")
+        F.coalesce(size, F.lit(0)).alias("bytes"), wire(F.min("first")).alias("first"), wire(F.max("last")).alias("last")
     ).first()
     first, last = (back(_literal(extent[n], dtype)) for n in ("first", "last"))
-    near = distinct_keys(asked, ks) if extent["keys"] <= policy.few_keys else None
+    near = distinct_keys(asked, ks) if extent["bytes"] <= policy.broadcast_bytes else None
     layout = Layout(first, last, near)
     times = asked
     for features, feature_time, max_age in sources:
         known = features.select(*named, quoted(feature_time).cast(dtype).alias("__t")).dropna()
         times = times.unionByName(layout.within_reach(known, max_age))
     heavy = heavy_keys(times, ks, policy)
-    return replace(layout, heavy=heavy, cuts=_cuts(times, ks, heavy, policy)) if heavy else layout
+    if not heavy:
+        return layout
+    many = len(heavy) == policy.max_keys
+    total = times.count() if many else sum(row[COUNT] for row in heavy)
+    return replace(layout, heavy=heavy, many_heavy=many, slices=-(-2 * total // policy.heavy_rows))
 
 
-def _spread() -> Column:
-    # The partition number keeps copies of one row apart. It is the same
-    # when a task is run again, unlike a random number after a shuffle.
-    return F.pmod(F.xxhash64("__row") + F.spark_partition_id() * 97, F.lit(SPREAD)).cast("int")
+def _line(known: DataFrame, asked: DataFrame, ks: Sequence[str]) -> DataFrame:
+    """Features and rows in one table. The partition number keeps copies of a
+    row apart; it is the same when a task is run again, unlike a random number
+    after a shuffle."""
+    spread = F.pmod(F.xxhash64("__row") + F.spark_partition_id() * 97, F.lit(2**62))
+    rows = asked.select(*ks, "__t", "__row", spread.alias("__spread"), F.lit(USUAL).alias("__slice"))
+    facts = known.select(*ks, "__t", HIT, F.lit(FEATURE).cast("long").alias("__spread"), F.lit(USUAL).alias("__slice"))
+    return facts.unionByName(rows, allowMissingColumns=True)
 
 
-def _cuts(times: DataFrame, ks: Sequence[str], heavy: Sequence[Row], policy: SkewPolicy) -> DataFrame:
-    """Table ``keys, __slice, from_t, from_s, to_t, to_s`` of all slices. The
-    first slice of a key has no lower bound, the last one no upper: NULL.
+def _sliced(line: DataFrame, ks: Sequence[str], n: int) -> DataFrame:
+    """The time lines in ``n`` ranges of about equal numbers of rows, each key
+    of a range with the newest feature of the ranges before it.
 
-    One aggregation over the heavy keys reads their quantiles. What is
-    collected, one time per slice, is bounded by the policy.
+    Seeds are at most one for each range and key in it; a key is in as many
+    ranges as its rows fill, but for two.
     """
-    total = sum(row[COUNT] for row in heavy)
-    wanted = []
-    for row in heavy:
-        fair = 1 + policy.all_slices * row[COUNT] // total
-        wanted.append(min(policy.max_slices, fair, -(-row[COUNT] // max(1, policy.heavy_rows // 2))))
-    table = key_table(times, ks, heavy, wanted, "__n").filter("__n > 1")
-
-    points = [i / policy.max_slices for i in range(1, policy.max_slices)]
-    wire, back = _wire(times.schema["__t"].dataType)
-    quantile = F.percentile_approx(wire(F.col("__t")), points, 16 * policy.max_slices)
-    ends = F.transform(
-        F.sequence(F.lit(1), F.col("__n") - 1),
-        lambda j: F.element_at("q", F.floor(policy.max_slices * j / F.col("__n")).cast("int")),
-    )
-    quantiles = (
-        only_heavy(times, table, ks)
-        .groupBy(*ks)
-        .agg(quantile.alias("q"))
-        .join(F.broadcast(table), list(ks))
-        .select(*ks, ends.alias("at"))
-        .collect()
-    )
-    slices = []
-    for row in quantiles:
-        key = tuple(row[k] for k in ks)
-        ends = [(None, None), *_distinct_places(row["at"]), (None, None)]
-        slices += [(*key, i, *ends[i], *ends[i + 1]) for i in range(len(ends) - 1)]
-    raw = times.select("__t").select(wire(F.col("__t")).alias("t")).schema["t"].dataType
-    schema = T.StructType(
-        [T.StructField(k, times.schema[k].dataType) for k in ks]
-        + [T.StructField("__slice", T.IntegerType())]
-        + [T.StructField("from_t", raw), T.StructField("from_s", T.IntegerType())]
-        + [T.StructField("to_t", raw), T.StructField("to_s", T.IntegerType())]
+    spark, path = line.sparkSession, scratch_dir(line.sparkSession, "asof")
+    dealt = line.repartitionByRange(n, *ks, "__t", "__spread").withColumn("__slice", F.spark_partition_id())
+    dealt.write.option("compression", "zstd").parquet(path)
+    placed = spark.read.schema(dealt.schema).parquet(path)
+    before = Window.partitionBy(*ks).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    seeds = (
+        placed.groupBy(*ks, "__slice")
+        .agg(F.max(HIT).alias(HIT))
+        .withColumn(HIT, F.last(HIT, ignorenulls=True).over(before))
+        .filter(F.col(HIT).isNotNull())
+        .withColumns({"__t": F.col(f"{HIT}.time"), "__spread": F.lit(FEATURE).cast("long")})
     )
-    made = times.sparkSession.createDataFrame(slices, schema)
-    return made.withColumns({"from_t": back(F.col("from_t")), "to_t": back(F.col("to_t"))})
+    return placed.unionByName(seeds, allowMissingColumns=True)
 
 
 def _wire(dtype: T.DataType):
@@ -243,48 +236,3 @@ def _wire(dtype: T.DataType):
 def _literal(value, dtype: T.DataType) -> Column:
     """A value that came over the wire, without the zone of this process."""
     return F.lit(value) if isinstance(dtype, T.TimestampType) else time_literal(value, dtype)
-
-
-def _distinct_places(times: Sequence) -> list[tuple]:
-    """Cuts at rising places. Equal times are one crowded instant, which is
-    then cut along the spread of its rows."""
-    places = []
-    for t in dict.fromkeys(times):
-        same = times.count(t)
-        spreads = [FEATURE, *(SPREAD * j // same for j in range(1, same))]
-        places += [(t, s) for s in dict.fromkeys(spreads)]
-    return places
-
-
-def _place(df: DataFrame, cuts: DataFrame, ks: Sequence[str]) -> DataFrame:
-    """``df`` with the slice of each row; slice 0 for keys without cuts.
-
-    The cuts are a bounded table and exactly one of them fits a row.
-    """
-    small = F.broadcast(cuts.toDF(*[f"c{k}" for k in ks], "__slice", "from_t", "from_s", "to_t", "to_s"))
-    t, s = F.col("__t"), F.col("__spread")
-    fits = (F.col("from_t").isNull() | (t > F.col("from_t")) | ((t == F.col("from_t")) & (s >= F.col("from_s")))) & (
-        F.col("to_t").isNull() | (t < F.col("to_t")) | ((t == F.col("to_t")) & (s < F.col("to_s")))
-    )
-    for k in ks:
-        fits = (F.col(k) == F.col(f"c{k}")) & fits
-    placed = df.join(small, fits, "left")
-    return placed.withColumn("__slice", F.coalesce("__slice", F.lit(0))).select(*df.columns, "__slice")
-
-
-def _slice_features(known: DataFrame, table: DataFrame, cuts: DataFrame, ks: Sequence[str]) -> DataFrame:
-    usual = without_heavy(known, table, ks).withColumn("__slice", F.lit(0))
-    one_per_instant = only_heavy(known, table, ks).groupBy(*ks, "__t").agg(F.max(HIT).alias(HIT))
-    placed = _place(one_per_instant.withColumn("__spread", F.lit(FEATURE)), cuts, ks).drop("__spread")
-
-    # One row per slice of a heavy key from here on, a bounded number.
-    newest = placed.groupBy(*ks, "__slice").agg(F.max(HIT).alias(HIT))
-    before = Window.partitionBy(*ks).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    seeds = (
-        cuts.select(*ks, "__slice")
-        .join(newest, [*ks, "__slice"], "left")
-        .withColumn(HIT, F.last(HIT, ignorenulls=True).over(before))
-        .filter(F.col(HIT).isNotNull())
-        .withColumn("__t", F.col(f"{HIT}.time"))
-    )
-    return usual.unionByName(placed).unionByName(seeds)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
@@ -21,21 +21,17 @@ from ..functions.columns import quoted
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When a key counts as heavy, and into how many slices it is cut.
-
-    ``heavy_rows``  a key with fewer rows is never heavy
-    ``max_keys``    how many keys may be treated as heavy
-    ``max_slices``  slices of one heavy key
-    ``all_slices``  slices of all heavy keys together, a few more at most
-    ``few_keys``    up to so many distinct keys are broadcast as a filter
-    ``enabled``     False skips the counting passes
+    """When a key counts as heavy, and what may be broadcast.
+
+    ``heavy_rows``       a key with fewer rows is never heavy; rows a task should have at most
+    ``max_keys``         how many keys may be set apart as heavy
+    ``broadcast_bytes``  measured size up to which keys, or the table rows they need, are broadcast
+    ``enabled``          False skips the counting passes
     """
 
     heavy_rows: int = 2_000_000
     max_keys: int = 4096
-    max_slices: int = 512
-    all_slices: int = 8192
-    few_keys: int = 100_000
+    broadcast_bytes: int = 16 * 2**20
     enabled: bool = True
 
 
@@ -60,32 +56,33 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_
     )
 
 
-def has_few_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> bool:
-    """Whether the distinct keys of ``df`` are few enough to broadcast, by count."""
-    if not policy.enabled:
-        return False
-    return distinct_keys(df, keys).count() <= policy.few_keys
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row when broadcast: eight bytes a value, and its letters."""
+    parts = []
+    for field in df.schema:
+        c = quoted(field.name)
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            parts.append(8 + F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            parts.append(8 + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
+        else:
+            parts.append(F.lit(8))
+    return reduce(add, parts)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """What the rows would take in a broadcast, by one aggregation."""
+    return df.agg(F.sum(row_bytes(df).cast("long"))).first()[0] or 0
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*[quoted(k) for k in keys]).dropna().distinct()
 
 
-def key_table(
-    df: DataFrame,
-    keys: Sequence[str],
-    heavy: Sequence[Row],
-    numbers: Sequence[int] | None = None,
-    alias: str = "",
-) -> DataFrame:
-    """The heavy keys as a table, of at most ``max_keys`` rows, with a number
-    for each if given."""
+def key_table(df: DataFrame, keys: Sequence[str], heavy: Sequence[Row]) -> DataFrame:
+    """The heavy keys as a table, of at most ``max_keys`` rows."""
     fields = [T.StructField(k, df.schema[k].dataType) for k in keys]
-    rows = [tuple(r[k] for k in keys) for r in heavy]
-    if numbers is not None:
-        fields.append(T.StructField(alias, T.IntegerType()))
-        rows = [(*row, n) for row, n in zip(rows, numbers)]
-    return df.sparkSession.createDataFrame(rows, T.StructType(fields))
+    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in heavy], T.StructType(fields))
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

@@ -11,9 +11,9 @@ from .heavy import (
     DEFAULT_POLICY,
     SkewPolicy,
     distinct_keys,
-    has_few_keys,
     heavy_keys,
     key_table,
+    measured_bytes,
     only_heavy,
     without_heavy,
 )
@@ -28,20 +28,25 @@ def lookup_join(
 ) -> DataFrame:
     """``rows`` left join ``table`` on ``keys``; ``table`` has one row per key.
 
-    With few distinct keys in ``rows``, only those of ``table`` are kept,
-    at most one row each, and broadcast: nothing is shuffled, and a large
-    table is not sorted for a handful of rows. ``same_keys`` says that
-    ``table`` holds no other keys anyway.
+    Where the distinct keys of ``rows`` measure little, only their rows of
+    ``table`` are needed, at most one each. If those measure little too, they
+    are broadcast: nothing is shuffled, and a large table is not sorted for a
+    handful of rows. What counts is bytes, so that a wide table is not
+    broadcast for its few keys. ``same_keys`` says that ``table`` holds no
+    other keys anyway.
 
-    With many keys, rows of heavy keys still meet a broadcast part of
-    ``table``, at most one row per heavy key. All others take the ordinary
-    join, for which Spark picks the strategy by size.
+    Else the rows of heavy keys meet a broadcast part of ``table``, at most one
+    row per heavy key. All others take the ordinary join, for which Spark picks
+    the strategy by size, and which leaves a table bucketed by the keys where
+    it is.
     """
     keys = list(keys)
-    if has_few_keys(rows, keys, policy):
-        if not same_keys:
-            table = table.join(F.broadcast(distinct_keys(rows, keys)), keys, "left_semi")
-        return rows.join(F.broadcast(table), keys, "left")
+    if policy.enabled:
+        wanted = distinct_keys(rows, keys)
+        if measured_bytes(wanted) <= policy.broadcast_bytes:
+            part = table if same_keys else table.join(F.broadcast(wanted), keys, "left_semi")
+            if measured_bytes(part) <= policy.broadcast_bytes:
+                return rows.join(F.broadcast(part), keys, "left")
     heavy = heavy_keys(rows, keys, policy)
     if not heavy:
         return rows.join(table, keys, "left")

@@ -396,7 +396,7 @@ def feat_historical_ttl(spark, sf_dir):
 @query
 def feat_historical_sliced(spark, sf_dir):
     """As ``feat_historical_ttl``, with all but the smallest keys cut into slices."""
-    policy = SkewPolicy(heavy_rows=4, max_slices=16)
+    policy = SkewPolicy(heavy_rows=400)
     catalog = _catalog(spark, sf_dir, SHORT_TTL)
     return _rounded(get_historical(entities(spark, sf_dir), STATS, catalog, policy=policy))
 

@@ -6,12 +6,13 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from ledgersift.operators import asof
 from ledgersift.operators.asof import HIT, asof_join, within_ttl
 from ledgersift.operators.heavy import SkewPolicy
 
 WHOLE = SkewPolicy(enabled=False)
-SLICED = SkewPolicy(heavy_rows=20, max_keys=3, max_slices=16, all_slices=40)
-MANY_KEYS = SkewPolicy(heavy_rows=20, max_keys=3, max_slices=16, few_keys=2)
+SLICED = SkewPolicy(heavy_rows=100, max_keys=3)  # more keys are heavy than may be set apart
+ONE_HEAVY = SkewPolicy(heavy_rows=300, max_keys=3, broadcast_bytes=20)
 START = datetime(2024, 3, 30)
 
 
@@ -57,7 +58,7 @@ def result(df):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("policy", [WHOLE, SLICED, MANY_KEYS], ids=["whole", "sliced", "many"])
+@pytest.mark.parametrize("policy", [WHOLE, SLICED, ONE_HEAVY], ids=["whole", "sliced", "one"])
 def test_equals_brute_force(spark, seed, policy):
     rows, features = made(seed)
     assert result(joined(spark, rows, features, policy)) == brute(rows, features)
@@ -75,27 +76,32 @@ def test_zoned_times_over_a_clock_change(spark, policy):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-def test_slices_are_even_though_one_key_is_heavy(spark):
-    rows, features = made(5, n=6000)
-    policy = SkewPolicy(heavy_rows=200, max_keys=3, max_slices=32, all_slices=200)
-    from ledgersift.operators import asof
+@pytest.mark.parametrize("max_keys", [3, 1], ids=["apart", "all"])
+def test_no_group_outgrows_a_task(spark, monkeypatch, max_keys):
+    """Ten times the rows are ten times the ranges, none of them larger."""
+    seen, original = [], asof._sliced
 
-    seen = {}
-    original = asof._place
+    def spy(line, ks, n):
+        seen.append((n, original(line, ks, n)))
+        return seen[-1][1]
 
-    def spy(df, cuts, ks):
-        out = original(df, cuts, ks)
-        seen.setdefault("rows", out)
-        return out
+    monkeypatch.setattr(asof, "_sliced", spy)
+    policy = SkewPolicy(heavy_rows=1500, max_keys=max_keys)
+    for n in (6000, 60_000):
+        rows, features = made(5, n)
+        found = joined(spark, rows, features, policy)
+        assert found.count() == len(rows)
+        line = seen[-1][1]
+        assert line.groupBy("__slice", "__k0").count().agg(F.max("count")).first()[0] <= policy.heavy_rows
+    assert seen[1][0] > 8 * seen[0][0]
 
-    asof._place = spy
-    try:
-        assert result(joined(spark, rows, features, policy)) == brute(rows, features)
-    finally:
-        asof._place = original
-    sizes = [r["count"] for r in seen["rows"].filter("__k0 = 0").groupBy("__slice").count().collect()]
-    assert len(sizes) > 8
-    assert max(sizes) < sum(sizes) / 4
+
+def test_the_plan_compares_no_ranges(spark):
+    rows, features = made(5, 6000)
+    found = joined(spark, rows, features, SkewPolicy(heavy_rows=1500))
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in text.splitlines() if "Join" in line]
+    assert joins and not any("<" in line.replace("<=>", "") or ">" in line.replace("<=>", "") for line in joins)
 
 
 def test_columns_and_several_keys(spark):
@@ -125,7 +131,7 @@ def test_nothing_on_either_side(spark):
     assert result(joined(spark, rows, [], SLICED)) == brute(rows, [])
 
 
-@pytest.mark.parametrize("policy", [WHOLE, SLICED, MANY_KEYS, SkewPolicy()], ids=["whole", "sliced", "many", "usual"])
+@pytest.mark.parametrize("policy", [WHOLE, SLICED, ONE_HEAVY, SkewPolicy()], ids=["whole", "sliced", "one", "usual"])
 @pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
 def test_max_age(spark, policy, kind):
     rows, features = made(7, n=500)

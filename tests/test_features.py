@@ -175,9 +175,9 @@ def test_heavy_keys_are_found_and_bounded(spark):
     [
         SkewPolicy(),
         SkewPolicy(enabled=False),
-        SkewPolicy(few_keys=3),
-        SkewPolicy(few_keys=3, heavy_rows=10),
-        SkewPolicy(few_keys=3, heavy_rows=1),
+        SkewPolicy(broadcast_bytes=30),
+        SkewPolicy(broadcast_bytes=30, heavy_rows=10),
+        SkewPolicy(broadcast_bytes=30, heavy_rows=1),
     ],
 )
 def test_lookup_join_equals_left_join(spark, policy):
@@ -191,3 +191,13 @@ def test_lookup_join_equals_left_join(spark, policy):
     assert out.columns == ["i", "k", "top"]
     assert all(r.top == (top[r.k] if r.k is not None else None) for r in out.collect())
     assert out.count() == 400
+
+
+def test_a_wide_table_is_not_broadcast_for_its_few_keys(spark):
+    rows = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    wide = spark.createDataFrame([(1, "x" * 5000), (2, "y" * 5000), (3, "z")], "k int, v string")
+    policy = SkewPolicy(broadcast_bytes=2000)
+    for table, broadcast in ((wide, False), (wide.selectExpr("k", "left(v, 3) AS v"), True)):
+        found = lookup_join(rows, table, ["k"], policy)
+        assert ("ResolvedHint" in found._jdf.queryExecution().analyzed().toString()) == broadcast
+        assert sorted((r.k or 0, (r.v or "")[:1]) for r in found.collect()) == [(0, ""), (1, "x"), (2, "y")]

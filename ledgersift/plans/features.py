@@ -11,6 +11,7 @@ from ..functions.columns import quoted, time_literal
 from ..operators.asof import HIT, asof_join, lay_out, within_ttl
 from ..operators.heavy import DEFAULT_POLICY, SkewPolicy
 from ..operators.lookup import lookup_join
+from ..sources.versions import Version, current, publish, read_current
 from .feature_model import Catalog, FeatureView, OnDemandView, column_name
 
 FOUND_AT = "__found_at"
@@ -70,6 +71,11 @@ def materialize(
 
     An aggregate, so a key with many rows shrinks before the shuffle.
     """
+    views = _alike(view)
+    return _values(_newest(views, start, end, spark), views)
+
+
+def _alike(view: FeatureView | Sequence[FeatureView]) -> list[FeatureView]:
     views = [view] if isinstance(view, FeatureView) else list(view)
     source, keys = views[0].source, views[0].entity.join_keys
     if any(v.source is not source or v.entity.join_keys != keys for v in views):
@@ -77,16 +83,25 @@ def materialize(
     fields = {f.name: f for v in views for f in v.schema}
     if any(fields[f.name].dataType != f.dataType for v in views for f in v.schema):
         raise ValueError("views of one snapshot agree on the types of their features")
+    return views
+
+
+def _newest(views: Sequence[FeatureView], start, end, spark: SparkSession) -> DataFrame:
+    """Keys and a struct that sorts by time, then by what decides between equal
+    times: the greatest of each key."""
+    source, keys = views[0].source, views[0].entity.join_keys
     time = quoted(source.timestamp)
     table = source.read(spark)
     kind = table.schema[source.timestamp].dataType
     low, high = (b if isinstance(b, Column) else time_literal(b, kind) for b in (start, end))
-    # The struct sorts by time, then by what decides between equal times.
-    rest = dict.fromkeys([*source.tie_breakers(table, keys), *fields])
+    rest = dict.fromkeys([*source.tie_breakers(table, keys), *(f.name for v in views for f in v.schema)])
     row = F.struct(time.alias("time"), *[quoted(c).alias(c) for c in rest if c != source.timestamp])
-    newest = (
-        table.filter(time.between(low, high)).groupBy(*[quoted(k) for k in keys]).agg(F.max(row).alias(HIT))
-    )
+    return table.filter(time.between(low, high)).groupBy(*[quoted(k) for k in keys]).agg(F.max(row).alias(HIT))
+
+
+def _values(newest: DataFrame, views: Sequence[FeatureView]) -> DataFrame:
+    source, keys = views[0].source, views[0].entity.join_keys
+    fields = {f.name: f for v in views for f in v.schema}
     values = [
         F.col(HIT)["time" if f.name == source.timestamp else f.name].cast(f.dataType).alias(f.name)
         for f in fields.values()
@@ -94,9 +109,36 @@ def materialize(
     return newest.select(*[quoted(k) for k in keys], *values, F.col(f"{HIT}.time").alias(FOUND_AT))
 
 
-def write_snapshot(view: FeatureView | Sequence[FeatureView], start, end, path: str, spark: SparkSession) -> None:
-    """The materialized view or views as Parquet, in place of an earlier one."""
-    materialize(view, start, end, spark).write.mode("overwrite").parquet(path)
+def write_snapshot(view: FeatureView | Sequence[FeatureView], start, end, root: str, spark: SparkSession) -> Version:
+    """The materialized view or views, added to the snapshot at ``root``.
+
+    Ranges may come in any order and overlap: of a key's rows the newest stays,
+    of equal times the one the tie breakers prefer, so that late, older rows
+    win nothing and a range given twice changes nothing. The result is what one
+    call over all ranges would give. It is a new version; readers of the one
+    before are not disturbed, a failed run leaves it, and of two runs at once
+    one is told to try again (``VersionConflict``).
+    """
+    views = _alike(view)
+    before = current(spark, root)
+    newest = _newest(views, start, end, spark)
+    if before:
+        kept = spark.read.parquet(before.path)
+        if _shape(kept) != _shape(newest):
+            raise ValueError(f"the snapshot at {root} holds {kept.schema[HIT].dataType.simpleString()}, not {newest.schema[HIT].dataType.simpleString()}")
+        keys = [quoted(k) for k in views[0].entity.join_keys]
+        newest = kept.unionByName(newest).groupBy(*keys).agg(F.max(HIT).alias(HIT))
+    return publish(newest, root, after=before)
+
+
+def _shape(newest: DataFrame) -> list[tuple[str, str]]:
+    """Names and types without what may be NULL: files do not keep that."""
+    return [(f.name, f.dataType.simpleString()) for f in newest.schema]
+
+
+def read_snapshot(view: FeatureView | Sequence[FeatureView], root: str, spark: SparkSession) -> DataFrame:
+    """The newest version of a snapshot, as ``materialize`` would give it."""
+    return _values(read_current(spark, root), _alike(view))
 
 
 def get_online(

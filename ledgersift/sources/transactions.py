@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import TIMESTAMP_FORMAT, quoted
+from .versions import publish
 
 # Column order and names of the text files.
 TRANSACTION_SCHEMA = T.StructType(
@@ -107,7 +108,7 @@ def default_output(input_path: str) -> str:
     return input_path + ".parquet"
 
 
-def write_clean(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_clean(df: DataFrame, path: str, partition_by: Sequence[str] = (), versioned: bool = False) -> None:
     """Parquet in place of what ``path`` held.
 
     The files are written beside it and moved when all are there, so that a
@@ -115,9 +116,16 @@ def write_clean(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     rebalanced on those columns first: adaptive execution then joins small
     partitions and splits large ones, so a day holding a third of the rows is
     written by many tasks.
+
+    ``versioned`` writes the next version of a table at ``path`` instead, see
+    ``sources/versions.py``: nothing is deleted or moved, so that a reader
+    through ``read_current`` sees the old rows or the new ones.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if versioned:
+        publish(df, path, partition_by)
+        return
     beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:

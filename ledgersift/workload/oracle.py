@@ -249,6 +249,7 @@ ORACLE: dict[str, str] = {
     "src_select_first_n": _tx(f"SELECT * FROM tx_raw WHERE tx_time_days IN ({_DAY_NAMES} LIMIT 3)"),
     "sink_parquet_roundtrip": _TX_ROWS,
     "sink_partitioned_roundtrip": _TX_ROWS,
+    "sink_versioned_roundtrip": _TX_ROWS,
     "prof_nulls": _tx(
         "SELECT "
         + ", ".join(
@@ -352,6 +353,8 @@ SELECT {_KEYS}, {_STATS}, CASE WHEN valid THEN n END AS spending__n_orders,
     + f"SELECT {_KEYS}, {_SCORE.format(src='masked')} FROM masked",
     "feat_materialize": f"WITH {_FEATURES},{_SNAPSHOT}\nSELECT driver_id, round(conv_rate, 6) AS conv_rate, "
     "round(acc_rate, 6) AS acc_rate, avg_daily_trips, event_timestamp AS found_at FROM snap",
+    "feat_materialize_two_ranges": f"WITH {_FEATURES},{_SNAPSHOT}\nSELECT driver_id, round(conv_rate, 6) AS conv_rate, "
+    "round(acc_rate, 6) AS acc_rate, avg_daily_trips, event_timestamp AS found_at FROM snap",
     "feat_online_lookup": f"""WITH {_FEATURES},{_SNAPSHOT},
 looked AS (
   SELECT e.entity_id, e.driver_id, s.conv_rate AS conv, s.acc_rate AS acc, s.avg_daily_trips AS trips,

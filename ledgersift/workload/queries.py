@@ -14,10 +14,11 @@ from ..operators.lookup import with_group_max
 from ..plans import clean as cleaning
 from ..plans.driver_features import driver_catalog
 from ..plans.feature_model import Catalog, Entity, FeatureView, Source
-from ..plans.features import get_historical, get_online, latest_entities, materialize, write_snapshot
+from ..plans.features import get_historical, get_online, latest_entities, materialize, read_snapshot, write_snapshot
 from ..plans.profile import profile
 from ..session import scratch_dir
 from ..sources.files import select_files
+from ..sources.versions import read_current
 from ..sources.transactions import TRANSACTION_COLUMNS, default_output, read_transactions, write_clean
 from .tables import driver_stats, entities, orders_by_day, table, tx_raw
 
@@ -26,7 +27,7 @@ QUERIES: dict[str, Query] = {}
 
 # The parameters the SQL texts repeat.
 AS_OF = datetime(2024, 1, 15)
-START, END = datetime(2024, 1, 5), datetime(2024, 1, 15)
+START, MIDDLE, END = datetime(2024, 1, 5), datetime(2024, 1, 9), datetime(2024, 1, 15)
 SHORT_TTL, MEDIUM_TTL, SPENDING_TTL = timedelta(hours=36), timedelta(days=3), timedelta(days=60)
 REFERENCES = [
     "driver_stats:conv_rate",
@@ -124,6 +125,15 @@ def sink_parquet_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def sink_versioned_roundtrip(spark, sf_dir):
+    """A second version replaces a first that holds only part of the rows."""
+    path, raw = scratch_dir(spark, "versioned"), tx_raw(spark, sf_dir)
+    write_clean(raw.filter("tx_fraud = 1"), path, versioned=True)
+    write_clean(raw, path, ["tx_time_days"], versioned=True)
+    return read_current(spark, path).select(*TRANSACTION_COLUMNS)
+
+
 @query
 def sink_partitioned_roundtrip(spark, sf_dir):
     path = default_output(scratch_dir(spark, "daily"))
@@ -434,11 +444,20 @@ def feat_materialize(spark, sf_dir):
     return _rounded(materialize(view, START, END, spark)).withColumnRenamed("__found_at", "found_at")
 
 
+@query
+def feat_materialize_two_ranges(spark, sf_dir):
+    """The later days first, then earlier ones that overlap with them."""
+    view, path = _catalog(spark, sf_dir).view("driver_stats"), scratch_dir(spark, "snapshot")
+    write_snapshot(view, MIDDLE, END, path, spark)
+    write_snapshot(view, START, MIDDLE, path, spark)
+    return _rounded(read_snapshot(view, path, spark)).withColumnRenamed("__found_at", "found_at")
+
+
 @query
 def feat_online_lookup(spark, sf_dir):
     catalog = _catalog(spark, sf_dir)
     path = scratch_dir(spark, "snapshot")
     write_snapshot(list(catalog.views.values()), START, END, path, spark)
-    snapshots = dict.fromkeys(catalog.views, spark.read.parquet(path))
+    snapshots = dict.fromkeys(catalog.views, read_snapshot(list(catalog.views.values()), path, spark))
     rows = entities(spark, sf_dir).select("entity_id", F.col("driver_id").cast("long").alias("driver_id"))
     return _rounded(get_online(rows, REFERENCES, catalog, snapshots))

@@ -18,11 +18,12 @@ import logging
 import sys
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgersift.plans.clean import CUSTOMER_FIRST, SIGMA_FIRST, clean, clean_report
+from ledgersift.plans.clean import CUSTOMER_FIRST, SIGMA_FIRST, clean_counted
 from ledgersift.session import build_session, pin_timezone, size_shuffles
 from ledgersift.sources.files import select_files, total_bytes
+from ledgersift.sources.typed import FILE, TEXT, typed_copy
 from ledgersift.sources.transactions import default_output, read_transactions, write_clean
 
 log = logging.getLogger("ledgersift.clean")
@@ -57,28 +58,50 @@ def run(
     infer: bool = False,
     partition_by: list[str] | None = None,
     steps: bool = False,
+    versioned: bool = False,
+    rejects: str | None = None,
 ) -> RunSummary:
-    """Read, clean, write. The rows left are counted from the footers of
-    the written files, not by running the plan again. If lines came in and
-    none of them could be read, the run stops before the write."""
+    """Read, clean, write, in one read of the text. All numbers are counted by
+    the plan that writes. If lines came in and none of them could be read, what
+    was written is thrown away and the earlier output stays. ``rejects`` is
+    where unreadable lines go, with their files; the text is parsed once into a
+    typed copy then, from which both are written."""
     pin_timezone(spark)
     output_path = output_path or default_output(input_path)
     paths = select_files(spark, input_path, files) if files is not None else input_path
+    if not paths:
+        return RunSummary(0)
     size_shuffles(spark, total_bytes(spark, paths))
-    raw = read_transactions(spark, paths, infer=infer, corrupt_column=None if infer else UNREADABLE)
-    bad = F.lit(0) if infer or UNREADABLE not in raw.columns else F.count(UNREADABLE)
-    rows_in, unreadable = raw.agg(F.count(F.lit(1)), bad).first()
-    raw = raw.drop(UNREADABLE)
-    if rows_in == 0:
+    if rejects is None:
+        raw = read_transactions(spark, paths, infer=infer, corrupt_column=None if infer else UNREADABLE)
+        return _clean(raw, output_path, order, partition_by, steps, versioned)
+    with typed_copy(spark, paths) as copy:
+        copy.rejects.write.mode("overwrite").parquet(rejects)
+        raw = copy.whole.withColumnRenamed(TEXT, UNREADABLE).drop(FILE)
+        return _clean(raw, output_path, order, partition_by, steps, versioned)
+
+
+def _clean(raw: DataFrame, output_path: str, order: str, partition_by, steps: bool, versioned: bool) -> RunSummary:
+    bad = {UNREADABLE: F.count(UNREADABLE)} if UNREADABLE in raw.columns else {}
+    cleaned, counts = clean_counted(raw, ORDERS[order], full=steps, **bad)
+    seen: dict[str, int] = {}
+
+    def accept() -> bool:
+        seen["rows"] = counts.get("input")
+        seen["bad"] = counts.get("input", UNREADABLE) if bad else 0
+        if not seen["rows"]:  # nothing came out, and Spark may have dropped the counting with it
+            rows, unreadable = raw.agg(F.count(F.lit(1)), *(bad.values() or [F.lit(0)])).first()
+            seen.update(rows=rows, bad=unreadable)
+        if seen["rows"] and seen["bad"] == seen["rows"]:
+            raise ValueError(f"none of {seen['rows']} lines could be read")
+        return seen["rows"] > 0
+
+    if not write_clean(cleaned, output_path, partition_by or (), versioned, accept):
         return RunSummary(0)
-    if unreadable == rows_in:
-        raise ValueError(f"none of {rows_in} lines could be read")
-    write_clean(clean(raw, ORDERS[order]), output_path, partition_by or ())
     if steps:
-        for line in clean_report(raw, ORDERS[order]).orderBy("step_no").collect():
-            log.info("%-10s %d rows (%.2f%% removed)", line.step, line.rows_out, 100 * line.removed_share)
-    left = spark.read.schema(raw.schema).parquet(output_path).count()
-    return RunSummary(rows_in, left, unreadable)
+        for _, step, left, removed in counts.lines():
+            log.info("%-10s %d rows (%.2f%% removed)", step, left, 100 * (removed or 0))
+    return RunSummary(seen["rows"], counts.get(ORDERS[order][-1]), seen["bad"])
 
 
 def parse(argv: list[str]) -> argparse.Namespace:
@@ -90,6 +113,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--files", help="all, latest, or how many files by name")
     parser.add_argument("--infer", action="store_true", help="infer column types")
     parser.add_argument("--partition-by", action="append", default=[])
+    parser.add_argument("--versioned", action="store_true", help="write the next version of OUTPUT, in place of none")
+    parser.add_argument("--rejects", help="folder for unreadable lines")
     parser.add_argument("--steps", action="store_true", help="log the rows left after each step")
     args = parser.parse_args(argv)
     if bool(args.root) == bool(args.input):
@@ -108,7 +133,7 @@ def main(argv: list[str] | None = None) -> int:
     try:
         spark = build_session("clean-transactions")
         summary = run(
-            spark, input_path, output_path, order, args.files, args.infer, args.partition_by, args.steps
+            spark, input_path, output_path, order, args.files, args.infer, args.partition_by, args.steps, args.versioned, args.rejects
         )
     except Exception:
         log.exception("cleaning failed")

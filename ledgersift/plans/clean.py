@@ -6,7 +6,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.columns import all_present, quoted
 from ..operators.checks import positive
@@ -39,18 +40,70 @@ def clean(df: DataFrame, order: Sequence[str] = SIGMA_FIRST, k: float = 3.0) ->
     which one row stays. The filters follow the deduplication and cannot
     go before it, as a transaction whose first row is bad leaves as a whole.
     """
-    steps = {
-        "amount": lambda d: d.filter(positive(AMOUNT)),
-        "customer": lambda d: d.filter(positive(CUSTOMER)),
-        "sigma": lambda d: sigma_trim(d, AMOUNT, k),
-    }
-    _known(order, steps)
+    _known(order, ("amount", "customer", "sigma"))
     out = one_per_transaction(drop_incomplete(df))
     for step in order:
-        out = steps[step](out)
+        out = _step(out, step, k)
     return out
 
 
+class StepCounts:
+    """Rows left after each step, counted while the cleaned table is written.
+
+    To be read after an action on the table. Without rows to count Spark may
+    drop the counting with the rest of the plan: no count is 0 then.
+    """
+
+    def __init__(self):
+        self._seen: list[tuple[str, Observation]] = []
+
+    def after(self, step: str, df: DataFrame, **also: Column) -> DataFrame:
+        seen = Observation()
+        self._seen.append((step, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in also.items()])
+
+    def get(self, step: str, name: str = "rows") -> int:
+        try:
+            return int(dict(self._seen)[step].get[name] or 0)
+        except Py4JJavaError:  # an observation that was dropped has no schema to read it by
+            return 0
+
+    def lines(self) -> list[tuple[int, str, int, float | None]]:
+        """As ``clean_report`` has them: number, step, rows, share removed."""
+        counts = [(step, self.get(step)) for step, _ in self._seen]
+        total = counts[0][1]
+        return [(i, step, n, 1 - n / total if total else None) for i, (step, n) in enumerate(counts)]
+
+
+def clean_counted(
+    df: DataFrame, order: Sequence[str] = SIGMA_FIRST, k: float = 3.0, full: bool = False, **also: Column
+) -> tuple[DataFrame, StepCounts]:
+    """The cleaned table as ``clean`` gives it, and counts that whatever writes
+    it makes on its way: no pass of their own. ``also`` are further aggregates
+    over the input, whose columns they may use although they are not cleaned.
+
+    ``full`` counts full copies as a step of its own. They then leave before the
+    rows of a transaction meet, which takes one more shuffle, though no other
+    read of the input.
+    """
+    _known(order, ("amount", "customer", "sigma"))
+    counts = StepCounts()
+    out = counts.after("input", df, **also).select(*[quoted(c) for c in df.columns if c not in also])
+    out = counts.after("dropna", drop_incomplete(out))
+    if full:
+        out = counts.after("dedup_full", out.dropDuplicates())
+    out = counts.after("dedup_key", one_per_transaction(out))
+    for step in order:
+        out = counts.after(step, _step(out, step, k))
+    return out, counts
+
+
+def _step(df: DataFrame, step: str, k: float) -> DataFrame:
+    if step == "sigma":
+        return sigma_trim(df, AMOUNT, k)
+    return df.filter(positive(AMOUNT if step == "amount" else CUSTOMER))
+
+
 def clean_report(df: DataFrame, order: Sequence[str] = SIGMA_FIRST, k: float = 3.0) -> DataFrame:
     """Rows left after each step: ``step_no``, ``step``, ``rows_out``, ``removed_share``.
 

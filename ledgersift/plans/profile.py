@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import is_float, quoted, without_nan
 from ..operators.checks import standard_checks, with_clock_skew
 from ..operators.dedupe import duplicate_counts
 from ..operators.sigma import is_outside, sigma_report_bounds
+from ..sources.typed import typed_copy
 
 KEY = "transaction_id"
 AMOUNT = "tx_amount"
@@ -21,14 +21,14 @@ LISTED = ("tx_fraud", "tx_fraud_scenario")
 SKEW = "seconds_diff"
 
 
-@contextmanager
-def reused(df: DataFrame):
-    """``df`` kept in memory and on disk while several reports read it."""
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield df
-    finally:
-        df.unpersist()
+def profile_text(spark: SparkSession, paths: str | Sequence[str], out: str, as_of: Column | None = None, top: int = 10, ntz: bool = False) -> DataFrame:
+    """The profile of text, written to ``out`` and read again. The text is
+    parsed once, into a typed copy that all scans read and that is gone
+    afterwards."""
+    with typed_copy(spark, paths, ntz) as copy:
+        found = profile(copy.rows, as_of, top)
+        found.write.parquet(out)
+    return spark.read.schema(found.schema).parquet(out)
 
 
 def profile(df: DataFrame, as_of: Column | None = None, top: int = 10) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -55,6 +55,7 @@ def read_transactions(
     ntz: bool = False,
     mode: str = "PERMISSIVE",
     corrupt_column: str | None = None,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Transactions from one path, a glob or a list of paths.
 
@@ -64,8 +65,8 @@ def read_transactions(
     of day, whole numbers also with a point. A table of another number of
     columns raises. A line with a value that cannot be read, or with another
     number of columns, has NULL for what is unreadable; ``corrupt_column``
-    keeps its text, and ``mode="FAILFAST"`` stops the job. An empty list gives
-    an empty table.
+    keeps its text, and ``mode="FAILFAST"`` stops the job. ``file_column`` names
+    the file each line came from. An empty list gives an empty table.
     """
     schema = transaction_schema(ntz)
     wanted = [paths] if isinstance(paths, str) else list(paths)
@@ -83,10 +84,11 @@ def read_transactions(
     fits = quoted(LINE).isNull()
     values = {f.name: F.when(fits, _value(quoted(f.name), f.dataType)) for f in schema}
     bad = ~fits
+    source = [F.col("_metadata.file_path").alias(file_column)] if file_column else []
     for name, value in values.items():
         bad = bad | (quoted(name).isNotNull() & value.isNull())
     text = F.coalesce(quoted(LINE), F.to_csv(F.struct(*[quoted(n) for n in schema.names])))
-    read = lines.select(*[v.alias(n) for n, v in values.items()], F.when(bad, text).alias(corrupt_column or LINE))
+    read = lines.select(*[v.alias(n) for n, v in values.items()], F.when(bad, text).alias(corrupt_column or LINE), *source)
     if mode == "FAILFAST":
         said = F.concat(F.lit("malformed line: "), quoted(corrupt_column or LINE))
         read = read.filter(F.when(quoted(corrupt_column or LINE).isNull(), True).otherwise(F.raise_error(said).cast("boolean")))
@@ -108,7 +110,13 @@ def default_output(input_path: str) -> str:
     return input_path + ".parquet"
 
 
-def write_clean(df: DataFrame, path: str, partition_by: Sequence[str] = (), versioned: bool = False) -> None:
+def write_clean(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    versioned: bool = False,
+    accept: Callable[[], bool] | None = None,
+) -> bool:
     """Parquet in place of what ``path`` held.
 
     The files are written beside it and moved when all are there, so that a
@@ -120,12 +128,15 @@ def write_clean(df: DataFrame, path: str, partition_by: Sequence[str] = (), vers
     ``versioned`` writes the next version of a table at ``path`` instead, see
     ``sources/versions.py``: nothing is deleted or moved, so that a reader
     through ``read_current`` sees the old rows or the new ones.
+
+    ``accept`` is asked when the rows are written and not yet in place, say for
+    what was counted on the way; if it says no, or raises, all stays as it was.
+    Returns whether the rows are in place.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if versioned:
-        publish(df, path, partition_by)
-        return
+        return publish(df, path, partition_by, accept=accept) is not None
     beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
@@ -136,9 +147,13 @@ def write_clean(df: DataFrame, path: str, partition_by: Sequence[str] = (), vers
     files = new.getFileSystem(conf)
     try:
         writer.parquet(beside)
+        if accept and not accept():
+            files.delete(new, True)
+            return False
         files.delete(old, True)
         if not files.rename(new, old):
             raise OSError(f"{beside} could not be moved to {path}")
+        return True
     except Exception:
         if files.exists(old):
             files.delete(new, True)

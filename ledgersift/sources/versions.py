@@ -82,14 +82,15 @@ def publish(
     keep: int = 2,
     after: Version | None | str = "current",
     write: Callable[[DataFrame, str], None] | None = None,
-) -> Version:
+    accept: Callable[[], bool] | None = None,
+) -> Version | None:
     """Write ``df`` as the next version of the table at ``root``.
 
     ``after`` is the version the rows were made from, for writers that merge
     into it (None: there was none); if another one has been published since,
     ``VersionConflict`` is raised and nothing changes. A write that fails leaves
-    the table as it was. ``write`` replaces the plain Parquet writer. Of the
-    versions before the new one ``keep`` stay.
+    the table as it was. ``write`` replaces the plain Parquet writer;
+    ``accept`` is asked before the version is published. Of the versions before the new one ``keep`` stay.
     """
     spark, root = df.sparkSession, root.rstrip("/")
     files, path = _files(spark, root)
@@ -103,6 +104,9 @@ def publish(
         else:
             writer = df.write
             (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{root}/{folder}")
+        if accept and not accept():
+            files.delete(new, True)
+            return None
         if current(spark, root) != before:
             raise VersionConflict(f"{root} is at {current(spark, root)}, expected {before}")
         _mark(files, marker, folder)

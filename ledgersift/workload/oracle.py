@@ -244,6 +244,7 @@ ORACLE: dict[str, str] = {
         "sum(CASE WHEN w <> 4 THEN customer_id END)::BIGINT AS customers, count(*) FILTER (w NOT IN (3, 4)) AS times "
         "FROM (SELECT *, CASE WHEN transaction_id % 10 = 0 THEN transaction_id // 10 % 5 ELSE -1 END AS w FROM tx_raw) GROUP BY 1"
     ),
+    "src_rejects": _tx("SELECT transaction_id, transaction_id % 10 = 3 AS rejected, true AS named FROM tx_raw"),
     "src_glob_union": _TX_ROWS,
     "src_select_latest": _tx("SELECT * FROM tx_raw WHERE tx_time_days = (SELECT max(tx_time_days) FROM tx_raw)"),
     "src_select_first_n": _tx(f"SELECT * FROM tx_raw WHERE tx_time_days IN ({_DAY_NAMES} LIMIT 3)"),
@@ -274,6 +275,12 @@ ORACLE: dict[str, str] = {
             for c in ("customer_id", "terminal_id", "tx_fraud", "tx_fraud_scenario")
         )
     ),
+    "prof_distinct_merged": _tx(
+        "\nUNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n, true AS near FROM tx_raw"
+            for c in ("customer_id", "terminal_id", "tx_fraud", "tx_fraud_scenario")
+        )
+    ),
     "prof_fraud_dist": _tx('SELECT tx_fraud, count(*) AS "count" FROM tx_raw GROUP BY 1 ORDER BY 1'),
     "prof_scenario_dist": _tx('SELECT tx_fraud_scenario, count(*) AS "count" FROM tx_raw GROUP BY 1 ORDER BY 1'),
     "prof_outliers": _tx("").rstrip()
@@ -286,6 +293,11 @@ SELECT round((SELECT lower FROM limits), 6) AS lower, round((SELECT upper FROM l
     "prof_time_skew_top": _tx(_SKEW_TOP),
     "prof_bad_timestamps": _check("bad_timestamps", "transaction_id % 211 = 0"),
     "prof_all_checks": _profile(),
+    "prof_text_once": _profile(),
+    "prof_moments_merged": _tx(
+        "SELECT round(m, 6) AS mean, round(s, 6) AS stddev, round(m - 3 * s, 6) AS lower, round(m + 3 * s, 6) AS upper "
+        "FROM (SELECT avg(tx_amount) AS m, stddev_samp(tx_amount) AS s FROM tx_raw WHERE NOT isnan(tx_amount))"
+    ),
     "check_dup_rows": _tx(
         "SELECT (SELECT count(*) FROM tx_raw) - (SELECT count(*) FROM (SELECT DISTINCT * FROM tx_raw)) AS surplus_rows"
     ),
@@ -315,6 +327,7 @@ SELECT round((SELECT lower FROM limits), 6) AS lower, round((SELECT upper FROM l
     "clean_dedup_key_lineitem": "SELECT * FROM lineitem QUALIFY row_number() OVER "
     f"(PARTITION BY l_orderkey, l_linenumber ORDER BY {_LINEITEM_ORDER}) = 1",
     "clean_positive": _tx("SELECT * FROM tx_raw WHERE tx_amount > 0 AND customer_id > 0"),
+    "clean_sigma_merged": _tx(_TRIM.format(src="tx_raw")),
     "clean_sigma": _tx(_TRIM.format(src="tx_raw")),
     "clean_pipeline_a": _STEPS_A + "SELECT * FROM s_customer",
     "clean_pipeline_b": _STEPS_B + "SELECT * FROM s_sigma",

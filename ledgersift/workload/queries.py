@@ -8,16 +8,17 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import TIMESTAMP_FORMAT, is_unparsable, time_literal
-from ..operators import checks, dedupe, sigma, stats, trends
+from ..operators import checks, dedupe, increments, sigma, stats, trends
 from ..operators.heavy import SkewPolicy
 from ..operators.lookup import with_group_max
 from ..plans import clean as cleaning
 from ..plans.driver_features import driver_catalog
 from ..plans.feature_model import Catalog, Entity, FeatureView, Source
 from ..plans.features import get_historical, get_online, latest_entities, materialize, read_snapshot, write_snapshot
-from ..plans.profile import profile
+from ..plans.profile import profile, profile_text
 from ..session import scratch_dir
 from ..sources.files import select_files
+from ..sources.typed import typed_copy
 from ..sources.versions import read_current
 from ..sources.transactions import TRANSACTION_COLUMNS, default_output, read_transactions, write_clean
 from .tables import driver_stats, entities, orders_by_day, table, tx_raw
@@ -106,6 +107,20 @@ def src_csv_malformed(spark, sf_dir):
     )
 
 
+@query
+def src_rejects(spark, sf_dir):
+    """Every line once: as a row or, with its text, as a reject."""
+    raw = tx_raw(spark, sf_dir).withColumn("tx_datetime", F.date_format("tx_datetime", TIMESTAMP_FORMAT))
+    line = F.to_csv(F.struct(*TRANSACTION_COLUMNS))
+    root = scratch_dir(spark, "rejects")
+    raw.select(F.when(F.col("transaction_id") % 10 == 3, F.regexp_replace(line, r"\d:\d\d,", "never,")).otherwise(line).alias("value")).write.text(root)
+    with typed_copy(spark, root, ntz=True, path=scratch_dir(spark, "typed")) as copy:
+        number = F.substring_index("line", ",", 1).cast("long")
+        own = F.col("file").contains(root.rsplit("/", 1)[-1])
+        rows = copy.readable.select("transaction_id", F.lit(False).alias("rejected"), F.lit(True).alias("named"))
+        return rows.unionByName(copy.rejects.select(number.alias("transaction_id"), F.lit(True).alias("rejected"), own.alias("named")))
+
+
 @query
 def src_select_latest(spark, sf_dir):
     root = _text_table(spark, sf_dir)
@@ -221,6 +236,40 @@ def prof_all_checks(spark, sf_dir):
     return _rounded(profile(tx_raw(spark, sf_dir), time_literal(AS_OF, T.TimestampNTZType())))
 
 
+@query
+def prof_text_once(spark, sf_dir):
+    """The same numbers from text that is parsed once."""
+    text = _text_table(spark, sf_dir) + "/*.txt"
+    return _rounded(profile_text(spark, text, scratch_dir(spark, "profile"), time_literal(AS_OF, T.TimestampNTZType()), ntz=True))
+
+
+@query
+def prof_moments_merged(spark, sf_dir):
+    """Mean, deviation and bounds of the amounts from one row a day."""
+    days = increments.moments(tx_raw(spark, sf_dir), "tx_amount", ["tx_time_days"])
+    return _rounded(increments.merged_bounds(days))
+
+
+@query
+def prof_distinct_merged(spark, sf_dir):
+    """Exact counts, and whether sketches merged over the days come near."""
+    raw, names = tx_raw(spark, sf_dir), ["customer_id", "terminal_id", "tx_fraud", "tx_fraud_scenario"]
+    days = increments.sketches(raw, names, ["tx_time_days"])
+    guess = increments.merged_distinct(days, names).select(F.struct("*")).scalar()
+    exact = stats.distinct_counts(raw, names)
+    error = 3 * 1.04 / 2 ** (increments.SKETCH_BITS / 2)
+    lines = [F.struct(F.lit(n).alias("column"), F.col(f"unique_{n}").alias("n"), (F.abs(guess[f"unique_{n}"] - F.col(f"unique_{n}")) <= F.greatest(F.lit(0.5), error * F.col(f"unique_{n}"))).alias("near")) for n in names]
+    return exact.select(F.inline(F.array(*lines)))
+
+
+@query
+def clean_sigma_merged(spark, sf_dir):
+    """The trim with bounds from one row a day: no row is read for them twice."""
+    raw = tx_raw(spark, sf_dir)
+    days = increments.moments(raw, "tx_amount", ["tx_time_days"])
+    return increments.trim_by(raw, "tx_amount", increments.merged_bounds(days))
+
+
 # -- checks -----------------------------------------------------------------
 
 

@@ -1,6 +1,10 @@
 import pytest
 
 from ledgersift.jobs import clean as job
+from ledgersift.plans.clean import CUSTOMER_FIRST, SIGMA_FIRST, clean, clean_counted, clean_report
+from ledgersift.sources.transactions import read_transactions
+from ledgersift.sources.versions import read_current
+from ledgersift.workload.tables import tx_raw
 
 
 @pytest.fixture
@@ -79,6 +83,52 @@ def test_unreadable_lines_are_counted(spark, root):
     assert found.lines()[-1] == "lines with unreadable values: 2"
 
 
+@pytest.mark.parametrize("steps", [False, True])
+def test_the_text_is_read_once(spark, root, monkeypatch, steps):
+    """The write is the only job over the text, with and without the steps."""
+    written = []
+    original = job.write_clean
+
+    def spy(df, *args):
+        written.append(df)
+        return original(df, *args)
+
+    monkeypatch.setattr(job, "write_clean", spy)
+    path = str(root / "input_data" / "*.txt")
+    monkeypatch.setattr(job, "total_bytes", lambda *a: 0)
+    found = job.run(spark, path, str(root / "out"), "customer-first", steps=steps)
+    assert (found.rows_in, found.rows_out) == (43, 41)
+    assert len(written) == 1
+    # Both sides of the trim read one shuffle: the text is scanned once.
+    written[0].collect()
+    final = written[0]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final or "ReusedQueryStage" in final or "ResultQueryStage" in final
+    report = clean_report(read_transactions(spark, path), CUSTOMER_FIRST).orderBy("step_no").collect()
+    assert report[0].rows_out == found.rows_in and report[-1].rows_out == found.rows_out
+
+
+def test_step_counts_equal_the_report(spark, sf):
+    raw = tx_raw(spark, sf["sf0.01"])
+    for order in (CUSTOMER_FIRST, SIGMA_FIRST):
+        cleaned, counts = clean_counted(raw, order, full=True)
+        cleaned.write.format("noop").mode("overwrite").save()
+        assert counts.lines() == [tuple(r) for r in clean_report(raw, order).orderBy("step_no").collect()]
+        assert counts.get(order[-1]) == clean(raw, order).count()
+
+
+def test_rejects_and_versions(spark, root):
+    path = root / "some.txt"
+    good = "{n},2022-11-01 10:00:00,1,1,5,0,0,0,0\n"
+    path.write_text(good.format(n=1) + "2,never,1,1,5,0,0,0,0\n" + "3,2022-11-01 10:00:00,1\n" + good.format(n=4))
+    out, rejects = str(root / "out"), str(root / "rejects")
+    assert job.main([str(path), out, "--versioned", "--rejects", rejects, "--steps"]) == 0
+    assert sorted(r.transaction_id for r in read_current(spark, out).collect()) == [1, 4]
+    assert sorted(r.line[0] for r in spark.read.parquet(rejects).collect()) == ["2", "3"]
+    path.write_text("2,never,1,1,5,0,0,0,0\n")
+    assert job.main([str(path), out, "--versioned", "--rejects", rejects]) == 1
+    assert read_current(spark, out).count() == 2
+
+
 def test_errors_end_with_one(spark, root, caplog):
     assert job.main([str(root / "missing.txt")]) == 1
     assert "cleaning failed" in caplog.text

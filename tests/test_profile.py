@@ -1,3 +1,6 @@
+import os
+from unittest import mock
+
 from datetime import datetime
 
 import pytest
@@ -5,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ledgersift.functions.columns import is_unparsable, percent
 from ledgersift.operators import checks, stats, trends
-from ledgersift.plans.profile import profile, reused
+from ledgersift.plans.profile import profile, profile_text
+from ledgersift.sources import typed
 from ledgersift.sources.transactions import TRANSACTION_SCHEMA
 from ledgersift.workload.tables import tx_raw
 from test_clean import table, tx
@@ -58,12 +62,38 @@ def test_profile_lists_null_values(spark):
     assert found["distinct", "tx_fraud"] == 1
 
 
-def test_profile_over_a_kept_table(spark):
-    df = table(spark, [tx(1), tx(1), tx(2)])
-    with reused(df) as kept:
-        assert kept.is_cached
-        assert values(profile(kept))["duplicates", "surplus_rows"] == 1
-    assert not df.is_cached
+def test_profile_of_text_parses_once(spark, tmp_path):
+    source = tmp_path / "in.txt"
+    line = "{n},2024-01-01 10:00:00,1,1,{a},36000,0,0,0\n"
+    source.write_text("# head\n" + "".join(line.format(n=n % 50, a=n % 7) for n in range(200)) + "9,never,1,1,5,36000,0,0,0\n")
+    scans, original = [], typed.read_transactions
+
+    def spy(*args, **kwargs):
+        scans.append(args)
+        return original(*args, **kwargs)
+
+    with mock.patch.object(typed, "read_transactions", spy), typed.typed_copy(spark, str(source)) as copy:
+        report = profile(copy.rows)
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        found = values(report)
+        assert "csv" not in plan.lower() and "FileScan parquet" in plan
+        folder = copy.path
+    assert len(scans) == 1 and not os.path.exists(folder)
+    assert found["table", "rows"] == 201 and found["nulls", "tx_datetime"] == 1
+    assert found == values(profile_text(spark, str(source), str(tmp_path / "out")))
+
+
+def test_rows_and_rejects_are_all_lines(spark, tmp_path):
+    good = "{n},2024-01-01 10:00:00,1,1,5,36000,0,0,0\n"
+    (tmp_path / "a.txt").write_text(good.format(n=1) + "2,never,1,1,5,36000,0,0,0\n" + good.format(n=3))
+    (tmp_path / "b.txt").write_text("4,2024-01-01\n" + good.format(n=5))
+    with typed.typed_copy(spark, str(tmp_path / "*.txt")) as copy:
+        assert sorted(r.transaction_id for r in copy.readable.collect()) == [1, 3, 5]
+        assert copy.rows.count() == 5
+        rejects = sorted((r.file.rsplit("/", 1)[-1], r.line) for r in copy.rejects.collect())
+    assert rejects == [("a.txt", "2,never,1,1,5,36000,0,0,0"), ("b.txt", "4,2024-01-01")]
+    with typed.typed_copy(spark, []) as copy:
+        assert copy.rows.count() == copy.rejects.count() == 0
 
 
 def test_approximate_counts_are_near(spark, sf):

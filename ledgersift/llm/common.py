@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from ledgersift.session import scratch_dir
 
 SPACES = " \t\n\x0b\x0c\r"
 U64 = np.uint64
+LONG_WORD = 64  # bytes; shorter ones have too few letters for a pair that collides by design
 # Odd multipliers of polynomial hashes and of the finishing steps.
 BASE = 0x9E3779B97F4A7C15
 STEP = 0xD6E8FEB86659FD93
@@ -147,6 +149,11 @@ class Words:
         self.first = np.searchsorted(start, at)
         sums = prefix_hash((_LOWER if lower else _BYTE)[raw], BASE)
         self.hashes = span_hash(sums, start, end, BASE)
+        # Sums of products modulo 2**64 can be made to collide by long words,
+        # whatever the base; a digest cannot.
+        for k in np.flatnonzero(end - start > LONG_WORD).tolist():
+            word = raw[start[k] : end[k]].tobytes()
+            self.hashes[k] = int.from_bytes(blake2b(word.lower() if lower else word, digest_size=8).digest(), "little")
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)

@@ -129,22 +129,15 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 100, rate: float =
         share = (toxic.sum() + 0.5) / (len(texts) + 1) if len(texts) else 0.0
         model.bias = np.array([0.0, np.log(share / (1 - share)) if share else -30.0])
         return model
-    raw, at = joined(texts)
-    number, begins = word_numbers(raw)
-    first = np.searchsorted(begins, at)
-    found = [g for a in range(0, len(raw), CHUNK) for g in grams(raw, a, min(a + CHUNK, len(raw)))]
-    place, gram = np.concatenate([p for p, _ in found]), np.concatenate([g for _, g in found])
-    order = np.argsort(place, kind="stable")
-    word, gram = number[place[order]], gram[order]
     # A word's n-grams are those of its spelling: each spelling is held once.
-    size = np.bincount(word, minlength=len(begins))
-    start = np.cumsum(size) - size
-    spelled = np.zeros(len(begins), U64)
-    np.add.at(spelled, word, (gram.astype(U64) + U64(1)) * (np.arange(len(word)) - start[word] + 1).astype(U64) * U64(BASE))
-    _, sample, kind = np.unique(spelled, return_index=True, return_inverse=True)
-    size, start = size[sample], start[sample]
-    held = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    gram, owner = gram[held], np.repeat(np.arange(len(sample)), size)
+    place: dict[bytes, int] = {}
+    kind = np.array([place.setdefault(w, len(place)) for t in texts for w in (t or "").encode().lower().split()], np.int32)
+    first = np.cumsum([0, *(len((t or "").encode().split()) for t in texts)])
+    raw = np.frombuffer(b" " + b" ".join(place) + b" ", np.uint8)
+    number, _ = word_numbers(raw)
+    found = [(number[p], g) for a in range(0, len(raw), CHUNK) for p, g in grams(raw, a, min(a + CHUNK, len(raw)))]
+    owner, gram = (np.concatenate([f[k] for f in found]).astype(np.int32) for k in (0, 1))
+    size = np.bincount(owner, minlength=len(place))
 
     weight = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
     params = [model.vectors, model.softmax, model.bias]
@@ -153,7 +146,7 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 100, rate: float =
     for k in range(1, rounds + 1):
         ahead = model.softmax[1] - model.softmax[0]
         odds = np.einsum("ij,j->i", model.vectors, ahead)
-        word_odds = np.bincount(owner, odds[gram], len(sample)) / np.maximum(size, 1)
+        word_odds = np.bincount(owner, odds[gram], len(place)) / np.maximum(size, 1)
         means, edge, width = windows(word_odds[kind], first)
         count = np.diff([*edge, len(means)])
         high = np.maximum.reduceat(means, edge)
@@ -166,7 +159,7 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 100, rate: float =
         start = np.repeat(first[:-1] - edge, count) + np.arange(len(means))
         lives = np.repeat(n_words > 0, count)
         turns = np.bincount(start[lives], per_window[lives], len(kind) + 1) - np.bincount((start + np.repeat(width, count))[lives], per_window[lives], len(kind) + 1)
-        per_word = np.bincount(kind, np.cumsum(turns)[:-1], len(sample)) / np.maximum(size, 1)
+        per_word = np.bincount(kind, np.cumsum(turns)[:-1], len(place)) / np.maximum(size, 1)
         per_gram = np.bincount(gram, per_word[owner], 1 << BITS)
         toward = np.einsum("ij,i->j", model.vectors, per_gram)
         slopes = [per_gram[:, None] * ahead + 1e-6 * model.vectors, np.stack([-toward, toward]), np.array([-wrong.sum(), wrong.sum()])]
@@ -178,11 +171,11 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 100, rate: float =
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic", sample_docs: int = 2000, sample_bytes: int = 1 << 24) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic", sample_docs: int = 2000, sample_bytes: int = 1 << 22) -> Model:
     """Train on a sample of labelled rows for which ``learn``, a condition on
     the labels' columns, holds: at most about ``sample_docs`` of each label,
     drawn by a hash of the id, of ``sample_bytes`` together; texts longer than
-    a sixty-fourth of that are not drawn.
+    a sixteenth of that are not drawn.
 
     Labels other than 0 and 1, and null ids, are not used; of several labels
     of an id the highest counts, of several texts the least.
@@ -192,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, text_col: str = "text
     share = {k: min(1.0, sample_docs / n) for k, n in sizes.items()}
     draw = lambda salt: F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit(salt)), F.lit(1_000_000)) / 1_000_000
     drawn = told.where(draw("rows") < F.when(F.col("_toxic") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0)))
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).where(F.octet_length("_text") <= sample_bytes // 64)
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).where(F.octet_length("_text") <= sample_bytes // 16)
     rows = texts.join(few(drawn), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.max("_toxic").alias("_toxic"))
     whole = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     if whole > sample_bytes:

@@ -9,6 +9,8 @@ then brought back to every document.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 from itertools import pairwise
 
@@ -18,12 +20,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgersift.llm.common import few, kept, map_batches, plus, without
+from ledgersift.llm.common import few, kept, map_batches, plus, split_rows, without
 from ledgersift.llm.pieces import MARK, MODEL
 from ledgersift.llm.wordpiece import VOCABULARY, byte_letters
 
 SPACE = re.compile(r"(?<=\w) (?=\w)")
 LONG = 1 << 16  # letters of text encoded in one piece, where it can be cut
+AT_ONCE = 1 << 17  # bytes of text aligned at once: their dictionaries are small
+# How byte-level vocabularies part a text, and letters whose kind
+# (letter, number, space or other) all versions of Unicode agree on.
+PARTS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+SETTLED = re.compile("[\t\n\r\x20-\x7e\xa1-\u017f]*")
 
 
 def parts(text: str, size: int = LONG) -> list[str]:
@@ -43,7 +50,10 @@ class Encoders:
     """Both tokenizers, and the bytes that each id stands for."""
 
     def __init__(self, path_a: str, path_b: str):
+        # Spark runs a worker a core; threads of their own would only compete.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a)
@@ -53,6 +63,12 @@ class Encoders:
         self.spelled_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.spelled_a[i] = bytes(value[x] for x in token) if all(x in value for x in token) else token.encode()
+        # Where merges are ranked by the ids they make, the ids say all.
+        special = {i for i, t in self.a.get_added_tokens_decoder().items() if t.special}
+        ranks = {raw: i for i, raw in enumerate(self.spelled_a) if raw and i not in special}
+        merged = [vocabulary.get(a + b) for a, b in _merges(path_a)]
+        ranked = None not in merged and merged == sorted(merged) and all(bytes([v]) in ranks for v in range(256))
+        self.fast = tiktoken.Encoding("ranks", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={}) if ranked else None
         self.b = p = sentencepiece.SentencePieceProcessor(model_file=path_b)
         names = [p.id_to_piece(i) for i in range(p.get_piece_size())]
         self.spelled_b = [bytes([int(w[3:5], 16)]) if p.is_byte(i) else w.replace(MARK, " ").encode() for i, w in enumerate(names)]
@@ -61,33 +77,32 @@ class Encoders:
         # Numbers in digits, followed by what may come after them.
         self.digits = {after: np.array([f"{i}{after}" for i in range(max(len(names), len(self.spelled_a)))], object) for after in ",|;"}
 
+    def _encode_a(self, piece: str) -> list[int]:
+        if self.fast is not None and SETTLED.fullmatch(piece):
+            return self.fast.encode_ordinary(piece)
+        return self.a.encode(piece, add_special_tokens=False).ids
+
     def __call__(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of every text; none where they do not spell space and text."""
-        pieces = [[] if not t else parts(t) if self.cuttable else [" " + t] for t in texts]
-        flat = [p for own in pieces for p in own]
-        found_a, found_b, some, size = [], [], [], 0
-        for piece in [*flat, None]:
-            if some and (piece is None or size + len(piece) > 4 * LONG):
-                found_a += [e.ids for e in self.a.encode_batch_fast(some, add_special_tokens=False)]
-                found_b += self.b.encode([p[1:] for p in some], num_threads=1)
-                some, size = [], 0
-            if piece is not None:
-                some.append(piece)
-                size += len(piece)
-        out_a, out_b, at = [], [], 0
-        for text, own in zip(texts, pieces, strict=True):
-            a = [i for ids in found_a[at : at + len(own)] for i in ids]
-            b = [i for ids in found_b[at : at + len(own)] for i in ids]
-            at += len(own)
-            if own:
+        out_a, out_b = [], []
+        for text in texts:
+            pieces = [] if not text else parts(text) if self.cuttable else [" " + text]
+            a = [i for p in pieces for i in self._encode_a(p)]
+            b = [i for p in pieces for i in self.b.encode(p[1:])]
+            if pieces:
                 said = (" " + text).encode()
-                if b"".join(map(self.spelled_a.__getitem__, a)) != said or b"".join(map(self.spelled_b.__getitem__, b)) != said:
+                if b"".join(map(self.spelled_b.__getitem__, b)) != said or b"".join(map(self.spelled_a.__getitem__, a)) != said:
                     a, b = [], []
             out_a.append(a)
             out_b.append(b)
         return out_a, out_b
 
 
+def _merges(path: str) -> list[tuple[str, str]]:
+    with open(path, encoding="utf-8") as file:
+        return [tuple(m.split(" ") if isinstance(m, str) else m) for m in json.load(file)["model"]["merges"]]
+
+
 def slices(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ends that both lists have, and how many tokens of each list end there
     or before."""
@@ -207,11 +222,12 @@ def align(docs: DataFrame, text_col: str = "text", path_a: str = VOCABULARY, pat
 
         work.block += 1
         block = (TaskContext.get().partitionId() << 32) + work.block
-        made = _aligned(encoders(path_a, path_b), rows[text_col].to_pylist(), ids)
-        out = rows if keep_text else rows.drop_columns([text_col])
-        for field in fields[:-1]:
-            out = out.append_column(field.name, made[field.name])
-        yield out.append_column("align_block", pa.array(np.full(rows.num_rows, block)))
+        for some in split_rows(rows, text_col, AT_ONCE):
+            made = _aligned(encoders(path_a, path_b), some[text_col].to_pylist(), ids)
+            out = some if keep_text else some.drop_columns([text_col])
+            for field in fields[:-1]:
+                out = out.append_column(field.name, made[field.name])
+            yield out.append_column("align_block", pa.array(np.full(some.num_rows, block)))
 
     work.block = 0
     base = without(docs, *(f.name for f in fields)).withColumn(text_col, F.col(text_col).cast("string"))

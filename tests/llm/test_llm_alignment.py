@@ -1,6 +1,7 @@
 """Token alignment against plain Python over whole texts."""
 
 import base64
+import random
 from collections import Counter
 from hashlib import sha256
 
@@ -121,6 +122,18 @@ def test_long_texts_are_cut_where_nothing_changes(plain):
     assert a == plain[0].encode_ordinary(" " + text) and b == plain[1].encode(text)
 
 
+def test_ranks_and_merges_agree():
+    """On letters of settled kind both ways of encoding give the same ids."""
+    e = Encoders(VOCABULARY, MODEL)
+    assert e.fast is not None
+    rng = random.Random(9)
+    letters = [chr(c) for c in [9, 10, 13, *range(32, 127), *range(0xA1, 0x180)]]
+    common = [*"etaoinshrdlu", " ", " ", " ", "'", "'s", "\n", "1", "é"]
+    for k in range(3000):
+        text = "".join(rng.choices(letters if k % 2 else common, k=rng.randrange(1, 120)))
+        assert e.fast.encode_ordinary(text) == e.a.encode(text, add_special_tokens=False).ids
+
+
 def test_empty_table_and_clashing_columns(spark):
     assert score_links(align(spark.createDataFrame([], "doc_id long, text string"))).collect() == []
     docs = spark.createDataFrame([(None, "one two", "u", 5.0), (None, "one two", "u", 5.0), (3, None, None, None)], "doc_id long, text string, N_A string, n double")

@@ -36,18 +36,25 @@ def activity_score(rows: DataFrame) -> dict[str, Column]:
     return {"activity_score": conv * conv + F.try_divide(acc * mean_trips, trips)}
 
 
+def activity_score_table(rows: DataFrame) -> DataFrame:
+    """The same as a function from table to table."""
+    return rows.withColumns(activity_score(rows))
+
+
 def driver_catalog(
     source: Source,
     stats_ttl: timedelta | None = STATS_TTL,
     activity_ttl: timedelta | None = ACTIVITY_TTL,
     stats_schema: T.StructType = STATS_SCHEMA,
     time_type: T.DataType = T.TimestampType(),
+    batch: bool = False,
 ) -> Catalog:
+    """``batch`` takes the score as a function over a batch that is written
+    once, which pays where the features are dear to look up."""
     tags = {"team": "driver"}
     stats = FeatureView("driver_stats", DRIVER, stats_schema, source, stats_ttl, tags)
     times = T.StructType([T.StructField(n, time_type) for n in TIME_FIELDS])
     activity = FeatureView("driver_activity", DRIVER, times, source, activity_ttl, tags)
-    score = OnDemandView(
-        "activity_score", (stats,), T.StructType([T.StructField("activity_score", T.DoubleType())]), activity_score
-    )
+    fields = T.StructType([T.StructField("activity_score", T.DoubleType())])
+    score = OnDemandView("activity_score", (stats,), fields, activity_score_table if batch else activity_score, batch)
     return Catalog([stats, activity], [score])

@@ -60,14 +60,18 @@ class OnDemandView:
     """Fields computed from the features of other views.
 
     ``transform`` gets the table of all rows asked for together, with
-    columns named ``view__feature``, and returns one column per field. It
-    may aggregate over that table through ``.scalar()``.
+    columns named ``view__feature``, and returns one column per field, or that
+    table with the fields added as columns of their own names. It may aggregate
+    over the table, through ``.scalar()`` or a join; ``over_batch`` says that it
+    does: the table is then written once and read from there, so that what was
+    looked up for it is not looked up again for each use.
     """
 
     name: str
     sources: tuple[FeatureView, ...]
     schema: T.StructType
-    transform: Callable[[DataFrame], Mapping[str, Column]]
+    transform: Callable[[DataFrame], Mapping[str, Column] | DataFrame]
+    over_batch: bool = False
 
 
 def column_name(view: str, feature: str) -> str:

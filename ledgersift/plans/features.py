@@ -11,6 +11,7 @@ from ..functions.columns import quoted, time_literal
 from ..operators.asof import HIT, asof_join, lay_out, within_ttl
 from ..operators.heavy import DEFAULT_POLICY, SkewPolicy
 from ..operators.lookup import lookup_join
+from ..session import scratch_dir
 from ..sources.versions import Version, current, publish, read_current
 from .feature_model import Catalog, FeatureView, OnDemandView, column_name
 
@@ -172,12 +173,26 @@ def get_online(
 
 
 def _with_on_demand(df: DataFrame, views: Sequence[OnDemandView]) -> DataFrame:
+    if any(view.over_batch for view in views):
+        path = scratch_dir(df.sparkSession, "batch")
+        df.write.option("compression", "zstd").parquet(path)
+        df = df.sparkSession.read.schema(df.schema).parquet(path)
     out = df
     for view in views:
-        made = dict(view.transform(df))
-        if set(made) != set(view.schema.names):
-            raise ValueError(f"{view.name} must return {view.schema.names}, not {sorted(made)}")
-        out = out.withColumns({column_name(view.name, n): c for n, c in made.items()})
+        made = view.transform(out)
+        if isinstance(made, DataFrame):
+            # The rows stay the same ones as long as their columns do: the
+            # table itself goes on, and nothing is joined to it.
+            lost = [c for c in out.columns if c not in made.columns]
+            added = [c for c in made.columns if c not in out.columns]
+            if lost or sorted(added) != sorted(view.schema.names):
+                raise ValueError(f"{view.name} must keep its rows' columns and add {view.schema.names}; lost {lost}, added {sorted(added)}")
+            out = made.withColumnsRenamed({n: column_name(view.name, n) for n in added})
+        else:
+            made = dict(made)
+            if set(made) != set(view.schema.names):
+                raise ValueError(f"{view.name} must return {view.schema.names}, not {sorted(made)}")
+            out = out.withColumns({column_name(view.name, n): c for n, c in made.items()})
         for declared in view.schema:
             actual = out.schema[column_name(view.name, declared.name)].dataType
             if actual != declared.dataType:

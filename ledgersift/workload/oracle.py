@@ -364,6 +364,8 @@ SELECT {_KEYS}, {_STATS}, CASE WHEN valid THEN n END AS spending__n_orders,
        round(CASE WHEN valid THEN worth END, 6) AS spending__spent FROM spent""",
     "feat_activity_score": _masked("36 HOUR", "30 DAY")
     + f"SELECT {_KEYS}, {_SCORE.format(src='masked')} FROM masked",
+    "feat_activity_score_batch": _masked("36 HOUR", "30 DAY")
+    + f"SELECT {_KEYS}, {_SCORE.format(src='masked')} FROM masked",
     "feat_materialize": f"WITH {_FEATURES},{_SNAPSHOT}\nSELECT driver_id, round(conv_rate, 6) AS conv_rate, "
     "round(acc_rate, 6) AS acc_rate, avg_daily_trips, event_timestamp AS found_at FROM snap",
     "feat_materialize_two_ranges": f"WITH {_FEATURES},{_SNAPSHOT}\nSELECT driver_id, round(conv_rate, 6) AS conv_rate, "

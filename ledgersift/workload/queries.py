@@ -408,7 +408,7 @@ def tx_by_hour(spark, sf_dir):
 # -- features ---------------------------------------------------------------
 
 
-def _catalog(spark, sf_dir, stats_ttl=timedelta(days=365), activity_ttl=timedelta(days=30)):
+def _catalog(spark, sf_dir, stats_ttl=timedelta(days=365), activity_ttl=timedelta(days=30), batch=False):
     source = Source("driver_stats_source", "event_timestamp", table=driver_stats(spark, sf_dir), created="created")
     # Doubles rather than floats, so that both engines hold the same values.
     schema = T.StructType(
@@ -418,7 +418,7 @@ def _catalog(spark, sf_dir, stats_ttl=timedelta(days=365), activity_ttl=timedelt
             T.StructField("avg_daily_trips", T.IntegerType()),
         ]
     )
-    return driver_catalog(source, stats_ttl, activity_ttl, schema, T.TimestampNTZType())
+    return driver_catalog(source, stats_ttl, activity_ttl, schema, T.TimestampNTZType(), batch=batch)
 
 
 @query
@@ -487,6 +487,13 @@ def feat_activity_score(spark, sf_dir):
     return _rounded(get_historical(entities(spark, sf_dir), REFERENCES[-1:], catalog))
 
 
+@query
+def feat_activity_score_batch(spark, sf_dir):
+    """The score as a function from table to table, over a batch written once."""
+    catalog = _catalog(spark, sf_dir, SHORT_TTL, batch=True)
+    return _rounded(get_historical(entities(spark, sf_dir), REFERENCES[-1:], catalog))
+
+
 @query
 def feat_materialize(spark, sf_dir):
     view = _catalog(spark, sf_dir).view("driver_stats")

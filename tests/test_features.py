@@ -150,6 +150,32 @@ def test_on_demand_output_must_match_its_declaration(spark):
         Catalog([stats, stats])
 
 
+def test_a_function_from_table_to_table_gives_the_same(spark):
+    rng = random.Random(2)
+    facts = [fact(k, d, conv=rng.random(), acc=rng.random(), trips=rng.randrange(4)) for k in range(6) for d in range(4)]
+    rows = asked(spark, *[(rng.randrange(8), rng.randrange(5)) for _ in range(40)])
+    one, two = (driver_catalog(catalog(spark, facts).view("driver_stats").source, batch=b) for b in (False, True))
+    plain, batch = (get_historical(rows, ["activity_score:activity_score", "driver_stats:conv_rate"], c) for c in (one, two))
+    assert plain.columns == batch.columns and bag(plain) == bag(batch)
+    # What was looked up is read again, not looked up again.
+    text = batch._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in text and "Window" in plain._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_table_function_keeps_its_rows_columns(spark):
+    views = catalog(spark, [fact(1, 0)])
+    stats = views.view("driver_stats")
+    declared = T.StructType([T.StructField("x", T.DoubleType())])
+    rows = asked(spark, (1, 1))
+    for made in (lambda df: df.select(F.lit(1.0).alias("x")), lambda df: df.withColumns({"x": F.lit(1.0), "y": F.lit(2.0)}), lambda df: df):
+        bad = Catalog([stats], [OnDemandView("d", (stats,), declared, made)])
+        with pytest.raises(ValueError, match="must keep"):
+            get_historical(rows, ["d:x"], bad)
+    late = OnDemandView("d", (stats,), declared, lambda df: df.withColumn("x", F.lit("text")))
+    with pytest.raises(TypeError):
+        get_historical(rows, ["d:x"], Catalog([stats], [late]))
+
+
 def test_a_source_may_be_a_path(spark, tmp_path):
     path = str(tmp_path / "stats.parquet")
     spark.createDataFrame([fact(1, 0)], SCHEMA).write.parquet(path)

@@ -454,7 +454,7 @@ def feat_historical_ttl(spark, sf_dir):
 
 @query
 def feat_historical_sliced(spark, sf_dir):
-    """As ``feat_historical_ttl``, with all but the smallest keys cut into slices."""
+    """As ``feat_historical_ttl``, with keys of 40 rows or more dealt out in ranges."""
     policy = SkewPolicy(heavy_rows=40)
     catalog = _catalog(spark, sf_dir, SHORT_TTL)
     return _rounded(get_historical(entities(spark, sf_dir), STATS, catalog, policy=policy))

@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgersift.llm.common import kept
 
 
+def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least of the numbers that links lead to."""
+    label = np.arange(n)
+    while len(i):
+        before = label.copy()
+        np.minimum.at(label, i, before[j])
+        np.minimum.at(label, j, before[i])
+        label = label[label]
+        if (label == before).all():
+            break
+    return label
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for all nodes of ``links`` (a, b); component is the
     least node that can be reached.

@@ -15,8 +15,10 @@ too few n-grams remain for any of them.
 
 Groups connected by signatures are mostly small and meet as a whole. In a group
 too large for one task each signature's classes first meet the one among them
-that shares most. What is then connected needs no more comparison. Only classes
-of one signature that are still apart meet each other, in blocks.
+that shares most, their hub. What is then connected needs no more comparison.
+Where classes of one signature are still apart, those of all signatures of the
+same hub meet each other once, in blocks; of what is found there, only as many
+links go on as connect the same classes.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import types as T
 
 from ledgersift.llm.blocks import pack, tally, told
 from ledgersift.llm.common import STEP, U64, Words, few, kept, map_batches, mix, prefix_hash, span_hash, window_hashes, without
-from ledgersift.llm.graph import components
+from ledgersift.llm.graph import components, roots
 
 
 @dataclass(frozen=True)
@@ -58,13 +60,6 @@ class Likeness:
         return self.shown(n) - np.minimum(self.shown(n), smaller - self.least(smaller) + 1) + 1
 
 
-class ShownLikeness(Likeness):
-    """What linked sets share of their shown hashes at least."""
-
-    def need(self, n, m):
-        return np.minimum(n - self.least(n), m - self.least(m)) + 1
-
-
 def shingle_sets(texts: list, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(values, first): each text's distinct hashes in order, one text after
     the other. A text with fewer than ``width`` words has one, its words."""
@@ -168,6 +163,8 @@ MEET = T.StructType([T.StructField(n, T.LongType()) for n in ("g", "h", "k", "si
 
 
 def _meet(like: Likeness):
+    """Links of the classes of one block: as many as connect what is linked."""
+
     def work(rows: pa.Table) -> pa.Table:
         side = np.asarray(rows["side"])
         cls, part, size = (np.asarray(rows[c]) for c in ("cls", "component", "n"))
@@ -178,48 +175,58 @@ def _meet(like: Likeness):
         less, more = np.minimum(size[a][:, None], size[b][None, :]), np.maximum(size[a][:, None], size[b][None, :])
         apart &= less >= like.least(more)
         pairs = tree_links([values[k] for k in a], [values[k] for k in b], size[a], size[b], apart, like) if len(a) and len(b) and apart.any() else []
-        return pa.table({"a": pa.array([int(cls[a[x]]) for x, _ in pairs], pa.int64()), "b": pa.array([int(cls[b[y]]) for _, y in pairs], pa.int64())})
+        i, j = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
+        root = roots(len(cls), a[i], b[j])
+        own = np.flatnonzero(root != np.arange(len(cls)))
+        return pa.table({"a": cls[own], "b": cls[root[own]]})
 
     return work
 
 
-def _large_groups(postings: DataFrame, signed: DataFrame, sets: DataFrame, like: Likeness, block_sets: int, block_values: int) -> DataFrame:
+def _large_groups(postings: DataFrame, sets: DataFrame, like: Likeness, block_sets: int, block_values: int) -> DataFrame:
     """Links among classes of groups too large to meet in one place.
 
-    The classes of each signature meet the one among them that shares most.
-    Where that leaves classes of one signature apart, their shown parts meet in
-    blocks, and the whole sets only of pairs that share enough of those.
+    The classes of each signature meet its hub, the one among them that shares
+    most. Where that leaves classes of one signature apart, they meet in blocks:
+    those of all signatures of a hub together, so that a class that has many of
+    them is dealt out once, or, if that takes fewer rows, each signature's.
     """
     zero = F.lit(0).cast("long")
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / block_sets), F.ceil(F.sum("n") / block_values)).alias("parts")
 
-    def compared(pairs: DataFrame) -> DataFrame:
-        """Of pairs (hub, cls, n) those that are linked."""
-        per_hub = pairs.groupBy("hub").agg(parts)
-        others = pairs.drop("n").join(per_hub, "hub").select(F.col("hub").alias("g"), zero.alias("h"), F.pmod(F.xxhash64("cls"), F.col("parts")).alias("k"), F.lit(2).cast("long").alias("side"), "cls", F.col("cls").alias("component"))
-        centres = per_hub.select(F.col("hub").alias("g"), zero.alias("h"), F.explode(F.sequence(zero, F.col("parts") - 1)).alias("k"), F.lit(1).cast("long").alias("side"), F.col("hub").alias("cls"), F.col("hub").alias("component"))
-        rows = others.unionByName(centres).join(sets, "cls").select(*MEET.names)
-        return rows.groupBy("g", "k").applyInArrow(_meet(like), PAIR)
-
     weight = postings.groupBy("cls").agg(F.count(F.lit(1)).alias("weight"))
     met = postings.groupBy("token").agg(F.count(F.lit(1)).alias("met"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("who")).where("met > 1")
     # Tokens met by the very same classes are one.
     tokens = met.groupBy("met", "who").agg(F.min("token").alias("token")).select("token")
     postings = kept(postings.join(tokens, "token").join(weight, "cls"), "large-postings")
     hubs = postings.groupBy("token").agg(F.max(F.struct("weight", "cls"))["cls"].alias("hub"))
-    first = kept(compared(postings.join(hubs, "token").where("cls <> hub").select("hub", "cls", "n").distinct()), "hub-links")
+    postings = kept(postings.join(hubs, "token").select("token", "hub", "cls", "n"), "hub-postings")
+
+    pairs = postings.where("cls <> hub").select("hub", "cls", "n").distinct()
+    per_hub = pairs.groupBy("hub").agg(parts)
+    others = pairs.drop("n").join(per_hub, "hub").select(F.col("hub").alias("g"), zero.alias("h"), F.pmod(F.xxhash64("cls"), F.col("parts")).alias("k"), F.lit(2).cast("long").alias("side"), "cls", F.col("cls").alias("component"))
+    centres = per_hub.select(F.col("hub").alias("g"), zero.alias("h"), F.explode(F.sequence(zero, F.col("parts") - 1)).alias("k"), F.lit(1).cast("long").alias("side"), F.col("hub").alias("cls"), F.col("hub").alias("component"))
+    rows = others.unionByName(centres).join(sets, "cls").select(*MEET.names)
+    first = kept(rows.groupBy("g", "k").applyInArrow(_meet(like), PAIR), "hub-links")
 
     labels = components(first)
-    placed = kept(postings.join(labels, postings["cls"] == labels["node"], "left").select("token", "cls", "n", F.coalesce("component", "cls").alias("component")), "placed")
-    open_ = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), parts).where("lo <> hi").select("token", "parts")
-    apart = placed.drop("n").join(open_, "token").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("parts")))
+    placed = kept(postings.join(labels, postings["cls"] == labels["node"], "left").select("token", "hub", "cls", "n", F.coalesce("component", "cls").alias("component")), "placed")
+    per_token = placed.groupBy("token", "hub").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("sets"), parts).where("lo <> hi").select("token", "hub", "sets", "parts")
+    per_token = kept(per_token, "open")
+    open_ = placed.join(per_token.select("token"), "token", "left_semi")
+    together = open_.select("hub", "cls", "component", "n").distinct()
+    per_hub = together.groupBy("hub").agg(F.count(F.lit(1)).alias("sets"), parts)
+    per_hub = per_hub.join(per_token.groupBy("hub").agg(F.sum(F.expr("sets * parts")).alias("singly")), "hub")
+    fewer = F.col("sets") * F.col("parts") <= F.col("singly")
+    by_hub = together.join(per_hub.where(fewer).select("hub", "parts"), "hub").select(F.col("hub").alias("g"), "parts", "cls", "component", zero.alias("one"))
+    single = per_token.select("token", "hub", "parts").join(per_hub.where(~fewer).select("hub"), "hub", "left_semi").select("token", "parts")
+    by_token = open_.join(single, "token").select(F.col("token").alias("g"), "parts", "cls", "component", F.lit(1).cast("long").alias("one"))
+    apart = by_hub.unionByName(by_token).withColumn("own", F.pmod(F.xxhash64("cls"), F.col("parts")))
     apart = apart.withColumn("with", F.explode(F.sequence(zero, F.col("parts") - 1)))
     side = F.when(F.col("own") == F.col("with"), 0).when(F.col("own") < F.col("with"), 1).otherwise(2).cast("long")
-    apart = apart.select(F.col("token").alias("g"), F.least("own", "with").alias("h"), F.greatest("own", "with").alias("k"), side.alias("side"), "cls", "component")
-    shown = signed.select("cls", "n", F.col("shown").alias("values"))
-    close = apart.join(shown, "cls").select(*MEET.names).groupBy("g", "h", "k").applyInArrow(_meet(ShownLikeness(like.percent)), PAIR)
-    pairs = kept(close.select(F.least("a", "b").alias("hub"), F.greatest("a", "b").alias("cls")).distinct(), "close-pairs")
-    return first.union(kept(compared(pairs.join(signed.select("cls", "n"), "cls").select("hub", "cls", "n")), "close-links"))
+    apart = apart.select("g", "one", F.least("own", "with").alias("h"), F.greatest("own", "with").alias("k"), side.alias("side"), "cls", "component")
+    last = apart.join(sets, "cls").select("one", *MEET.names).groupBy("one", "g", "h", "k").applyInArrow(_meet(like), PAIR)
+    return first.union(kept(last, "last-links"))
 
 
 def _marks(columns: list) -> list:
@@ -263,12 +270,10 @@ def _rooted(texts: DataFrame, width: int, percent: int, block_sets: int, block_v
         use = order[(place < most[text]) & (counts[order] > 1)]
         said = np.split(keys[use], np.flatnonzero(np.diff(text[use])) + 1) if len(use) else []
         who = np.unique(text[use])
-        edges = np.concatenate(([0], np.cumsum(shown)))
-        common = [keys[edges[k] : edges[k + 1]][counts[edges[k] : edges[k + 1]] > 1] for k in who]
-        return pa.table({"cls": cls[who], "n": n[who], "tokens": pa.array([x.tobytes() for x in said], pa.binary()), "shown": pa.array([x.tobytes() for x in common], pa.binary())})
+        return pa.table({"cls": cls[who], "n": n[who], "tokens": pa.array([x.tobytes() for x in said], pa.binary())})
 
     # Equal sets say the same; one row for each class is left.
-    signed = kept(told(packed, tally(packed), sign, "cls long, n long, tokens binary, shown binary").dropDuplicates(["cls"]), "signed")
+    signed = kept(told(packed, tally(packed), sign, "cls long, n long, tokens binary").dropDuplicates(["cls"]), "signed")
 
     def post(batches):
         for batch in batches:
@@ -324,7 +329,7 @@ def _rooted(texts: DataFrame, width: int, percent: int, block_sets: int, block_v
     links = kept(together.join(sets, "cls").select(*MEET.names).groupBy("g").applyInArrow(_meet(like), PAIR), "links")
     large = wanted.where("not small").select("cls")
     if not large.isEmpty():
-        links = links.union(_large_groups(postings.join(large, "cls"), signed, sets, like, block_sets, block_values))
+        links = links.union(_large_groups(postings.join(large, "cls"), sets, like, block_sets, block_values))
     links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     labels = components(links).withColumnRenamed("node", "cls").withColumnRenamed("component", "root")
     return members.join(labels, "cls", "left").withColumn("root", F.coalesce("root", "cls"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgersift.llm.common import kept, without
-from ledgersift.llm.graph import components
+from ledgersift.llm.graph import components, roots
 
 WIDER = 0.08  # searches go on among vectors this much below the bound
 
@@ -160,19 +160,6 @@ def met_before(shard: int, near: np.ndarray, i: np.ndarray, j: np.ndarray) -> np
     return out
 
 
-def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The least of the numbers that links lead to."""
-    label = np.arange(n)
-    while len(i):
-        before = label.copy()
-        np.minimum.at(label, i, before[j])
-        np.minimum.at(label, j, before[i])
-        label = label[label]
-        if (label == before).all():
-            break
-    return label
-
-
 def _find(bound: float, pairs: bool):
     """Links of one part of a shard, or between two of its parts: as they are,
     or their number at each vector and one vector that they lead to."""

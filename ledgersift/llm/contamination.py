@@ -3,7 +3,8 @@
 An item with a budget of e edits is split into e + 1 pieces: where it stands
 in a text with at most e edits, one piece stands there unchanged. One
 automaton finds all pieces of all items; around each hit Myers' bit-parallel
-algorithm gives the edit distance.
+algorithm gives the edit distance. A short item has no budget and counts only
+where it stands unchanged, from one word edge to another.
 """
 
 from __future__ import annotations
@@ -64,14 +65,21 @@ def letter_masks(item: str) -> dict[str, int]:
     return masks
 
 
+def word_edge(text: str, at: int) -> bool:
+    """Whether no word goes on from the letter before ``at`` to the one there."""
+    return not (0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum())
+
+
 class Finder:
-    """All items that stand in a text within their budgets."""
+    """All items that stand in a text within their budgets; those of fewer than
+    ``min_chars`` letters unchanged and between word edges."""
 
-    def __init__(self, items: list[tuple[int, str]], edits: float):
+    def __init__(self, items: list[tuple[int, str]], edits: float, min_chars: int = 0):
         import ahocorasick
 
         self.items, self.masks = items, {}
-        self.budget = [budget(len(text), edits) for _, text in items]
+        self.short = [len(text) < min_chars for _, text in items]
+        self.budget = [0 if short else budget(len(text), edits) for (_, text), short in zip(items, self.short, strict=True)]
         self.machine = ahocorasick.Automaton()
         for k, (_, text) in enumerate(items):
             for offset, piece in pieces(text, self.budget[k] + 1):
@@ -91,6 +99,10 @@ class Finder:
                 if best.get(k, (1,))[0] == 0:
                     continue
                 start = last + 1 - reach
+                if self.short[k]:
+                    if word_edge(text, start) and word_edge(text, last + 1):
+                        best[k] = (0, last + 1)
+                    continue
                 # Pieces of one occurrence are displaced by at most ``most``.
                 if any(a <= start <= b for a, b in checked.get(k, ())):
                     continue
@@ -121,22 +133,23 @@ def find_benchmark(
 
     Both sides are compared in lower case with white space runs as one space;
     ``end`` counts letters of that form. An item of n letters may differ by
-    ``edits`` * n insertions, deletions and replacements. Items shorter than
-    ``min_chars`` say too little and match nothing, as do null texts and items without an id. Items
-    with equal text are all reported. The items are sent with the tasks,
+    ``edits`` * n insertions, deletions and replacements; one of fewer than
+    ``min_chars`` letters by none, and no letter or digit of its first or last
+    word's may go on beyond it. Items without an id or without text match
+    nothing, as do null texts. Items with equal text are all reported. The items are sent with the tasks,
     ``items_at_once`` of them in one pass over the documents; more items take
     more passes. Repeated rows get equal answers; a column of the added name is
     replaced.
     """
     wanted = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("text"))
-    usable = wanted.where(F.col("item").isNotNull() & (F.length("text") >= min_chars)).distinct()
+    usable = wanted.where(F.col("item").isNotNull() & (F.length("text") > 0)).distinct()
     passes = max(1, -(-usable.count() // items_at_once))
     base = without(docs, "benchmark_hits").withColumn(text_col, F.col(text_col).cast("string"))
     out = base.withColumn("benchmark_hits", F.array().cast(HITS))
     for k in range(passes):
         part = usable.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == k) if passes > 1 else usable
-        items = [(i, t) for i, t in ((r[0], plain(r[1])) for r in part.collect()) if len(t) >= min_chars]
-        out = map_batches(out, _Search(sorted(items), edits, text_col), out.schema, text_col)
+        items = [(i, t) for i, t in ((r[0], plain(r[1])) for r in part.collect()) if t]
+        out = map_batches(out, _Search(sorted(items), edits, min_chars, text_col), out.schema, text_col)
     return out
 
 
@@ -145,16 +158,16 @@ class _Search:
 
     built: dict[str, Finder] = {}
 
-    def __init__(self, items: list, edits: float, text_col: str):
+    def __init__(self, items: list, edits: float, min_chars: int, text_col: str):
         import hashlib
 
-        self.items, self.edits, self.text_col = items, edits, text_col
-        self.name = hashlib.sha256(repr((items, edits)).encode()).hexdigest()
+        self.items, self.edits, self.min_chars, self.text_col = items, edits, min_chars, text_col
+        self.name = hashlib.sha256(repr((items, edits, min_chars)).encode()).hexdigest()
 
     def __call__(self, rows: pa.Table):
         if self.name not in _Search.built:
             _Search.built.clear()
-            _Search.built[self.name] = Finder(self.items, self.edits)
+            _Search.built[self.name] = Finder(self.items, self.edits, self.min_chars)
         finder = _Search.built[self.name]
         hits = []
         for text, before in zip(rows[self.text_col].to_pylist(), rows["benchmark_hits"].to_pylist(), strict=True):

@@ -14,7 +14,7 @@ from ledgersift.llm.chat import escape, format_chats, parse, read_back, render,
 from ledgersift.llm.contamination import Finder, best_match, find_benchmark
 from ledgersift.llm.language import codewords, fit, predict
 from ledgersift.llm.lines import PerfectHash, dedup_lines
-from ledgersift.llm.pieces import Codec, StreamingViterbi, Vocabulary, decode_pieces, encode_pieces
+from ledgersift.llm.pieces import Codec, Memo, SideBySide, StreamingViterbi, Vocabulary, decode_pieces, encode_pieces
 from ledgersift.llm.wordpiece import VOCABULARY, Automaton, byte_letters, load, token_counts
 
 LONG = "a long line that stands in many documents, x" * 3
@@ -111,12 +111,29 @@ def test_streaming_search_is_the_whole_search(text, step):
 def test_codec_round_trip(text):
     for v in (SMALL, CROSSING):
         coder = Codec(v)
-        ids = np.frombuffer(coder.encode(text), np.int32).tolist()
+        ids = np.frombuffer(coder.encode([text])[0], np.int32).tolist()
         assert coder.decode(ids) == text
         if "▁" not in text and text:
             assert ids == whole_search(v, "▁" + text.replace(" ", "▁"))
 
 
+@given(st.lists(st.text("ab▁xé\n\0\U0001f600", min_size=1, max_size=20), min_size=1, max_size=30))
+@settings(max_examples=100, deadline=None)
+def test_segments_side_by_side_are_searched_alike(segments):
+    for v in (SMALL, CROSSING, Vocabulary({}, list(range(256)))):
+        many = SideBySide(v)
+        many.ROWS = 8
+        assert [np.frombuffer(x, np.int32).tolist() for x in many.search(segments)] == [whole_search(v, s) for s in segments]
+
+
+def test_a_full_memo_starts_anew():
+    memo = Memo(SMALL, 3)
+    for words in ({"▁a", "▁b"}, {"▁a", "▁ab"}, {"▁x", "▁xa"}, {"▁" + "a" * 70}):
+        memo.learn(words)
+        assert len(memo) <= 3
+        assert all(np.frombuffer(memo[w], np.int32).tolist() == whole_search(SMALL, w) for w in words)
+
+
 def test_window_and_what_is_held_stay_small():
     """Scores are kept for the longest piece; back pointers until paths meet,
     here at every mark."""
@@ -145,7 +162,7 @@ def test_library_agrees(tmp_path):
     ours = Codec(Vocabulary.load(MODEL))
     scores = {i: s for i, s in ours.v.pieces.values()}
     for text in ["The there and then, of nations.", "Éan de aiê la parêtre", "x  y", "internationalization of everything"]:
-        a = np.frombuffer(ours.encode(text), np.int32).tolist()
+        a = np.frombuffer(ours.encode([text])[0], np.int32).tolist()
         b = theirs.encode(text)
         assert sum(scores.get(i, 0) for i in a) >= sum(scores.get(i, 0) for i in b) - 1e-3
 

@@ -5,7 +5,8 @@ feature is carried forward: one shuffle, one sort, no pairs. A window needs
 all rows of its group in one task, so the group must not be a whole heavy
 key. The time lines of heavy keys are therefore dealt out in ranges, sorted by
 key and place, as many as keep a range within a task, and each range starts
-with seeds, the newest feature before it:
+with seeds, the newest feature before it. Tasks follow the rows, not the
+ranges: one deals out as many small ranges as it has rows for.
 
 * A place on the time line is ``(time, spread)``. Features have spread -1,
   rows a number from 0 on that depends on the row and its input partition.
@@ -48,6 +49,7 @@ from .heavy import (
 )
 
 HIT = "__hit"
+TASK_ROWS = 200_000  # tasks that deal out ranges need not have fewer rows
 FEATURE = -1
 USUAL = -1  # the range of what is not dealt out
 
@@ -105,7 +107,8 @@ def asof_join(
         table = None if layout.many_heavy else key_table(known, ks, layout.heavy)
         apart = lambda df, pick: df if table is None else pick(df, table, ks)
         one_per_instant = apart(known, only_heavy).groupBy(*ks, "__t").agg(F.max(HIT).alias(HIT))
-        line = _sliced(_line(one_per_instant, apart(asked, only_heavy), ks), ks, layout.slices)
+        line = _dealt(_line(one_per_instant, apart(asked, only_heavy), ks), ks, layout.tasks)
+        line = _sliced(line, ks, layout.slices)
         if table is not None:
             line = line.unionByName(_line(without_heavy(known, table, ks), without_heavy(asked, table, ks), ks))
     # NULL sorts first, so a feature (no row) precedes the rows of its instant.
@@ -131,6 +134,7 @@ class Layout:
     heavy        keys whose time lines are dealt out in ranges
     many_heavy   there may be more of them: all keys are
     slices       into how many ranges
+    tasks        by how many tasks
     """
 
     first: Column | None = None
@@ -139,6 +143,7 @@ class Layout:
     heavy: Sequence[Row] = ()
     many_heavy: bool = False
     slices: int = 1
+    tasks: int = 1
 
     def within_reach(self, known: DataFrame, max_age: timedelta | None) -> DataFrame:
         """The features some row may find."""
@@ -191,7 +196,8 @@ def lay_out(
         return layout
     many = len(heavy) == policy.max_keys
     total = times.count() if many else sum(row[COUNT] for row in heavy)
-    return replace(layout, heavy=heavy, many_heavy=many, slices=-(-2 * total // policy.heavy_rows))
+    slices, tasks = (-(-2 * total // n) for n in (policy.heavy_rows, max(policy.heavy_rows, TASK_ROWS)))
+    return replace(layout, heavy=heavy, many_heavy=many, slices=slices, tasks=tasks)
 
 
 def _line(known: DataFrame, asked: DataFrame, ks: Sequence[str]) -> DataFrame:
@@ -204,17 +210,28 @@ def _line(known: DataFrame, asked: DataFrame, ks: Sequence[str]) -> DataFrame:
     return facts.unionByName(rows, allowMissingColumns=True)
 
 
+def _dealt(line: DataFrame, ks: Sequence[str], tasks: int) -> DataFrame:
+    """The time lines dealt to tasks in ranges, each sorted."""
+    place = [*ks, "__t", "__spread"]
+    return line.repartitionByRange(tasks, *place).sortWithinPartitions(*place)
+
+
 def _sliced(line: DataFrame, ks: Sequence[str], n: int) -> DataFrame:
-    """The time lines in ``n`` ranges of about equal numbers of rows, each key
-    of a range with the newest feature of the ranges before it.
+    """The time lines, dealt and sorted, in about ``n`` ranges, each key of a
+    range with the newest feature of the ranges before it.
 
-    Seeds are at most one for each range and key in it; a key is in as many
-    ranges as its rows fill, but for two.
+    A range has less than twice the average number of rows. Seeds are at most
+    one for each range and key in it; a key is in as many ranges as its rows
+    fill, but for two.
     """
     spark, path = line.sparkSession, scratch_dir(line.sparkSession, "asof")
-    dealt = line.repartitionByRange(n, *ks, "__t", "__spread").withColumn("__slice", F.spark_partition_id())
-    dealt.write.option("compression", "zstd").parquet(path)
-    placed = spark.read.schema(dealt.schema).parquet(path)
+    # The number of the task, and below it that of the row within the task.
+    placed = line.withColumn("__slice", F.monotonically_increasing_id())
+    placed.write.option("compression", "zstd").parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
+    rows = max(1, 2 * -(-placed.count() // n) - 1)
+    row = F.col("__slice").bitwiseAND(F.lit(2**33 - 1))
+    placed = placed.withColumn("__slice", F.col("__slice") - row + F.floor(row / rows))
     before = Window.partitionBy(*ks).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     seeds = (
         placed.groupBy(*ks, "__slice")

@@ -23,7 +23,7 @@ from ..functions.columns import quoted
 class SkewPolicy:
     """When a key counts as heavy, and what may be broadcast.
 
-    ``heavy_rows``       a key with fewer rows is never heavy; rows a task should have at most
+    ``heavy_rows``       a key with fewer rows is never heavy; rows of one key a task should have at most
     ``max_keys``         how many keys may be set apart as heavy
     ``broadcast_bytes``  measured size up to which keys, or the table rows they need, are broadcast
     ``enabled``          False skips the counting passes

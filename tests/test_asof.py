@@ -155,3 +155,22 @@ def test_features_out_of_reach_are_not_shuffled(spark, tmp_path):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(ft,2024-04-10" in text and "GreaterThanOrEqual(ft,2024-04-07" in text
     assert "LeftSemi, BuildRight" in text
+
+
+def test_tasks_follow_rows_and_not_ranges(spark, monkeypatch):
+    """Ranges of a few rows, thousands of them, are dealt out by few tasks."""
+    seen, original = [], asof._sliced
+
+    def spy(line, ks, n):
+        seen.append((n, line.rdd.getNumPartitions(), original(line, ks, n)))
+        return seen[-1][2]
+
+    monkeypatch.setattr(asof, "_sliced", spy)
+    rows, features = made(8, 12_000)
+    found = joined(spark, rows, features, SkewPolicy(heavy_rows=20))
+    # The policy without ranges is compared with brute force above.
+    assert result(found) == result(joined(spark, rows, features, WHOLE))
+    ranges, tasks, line = seen[0]
+    assert ranges > 1000 and tasks == 1
+    assert line.groupBy("__slice").count().where("count > 40").count() == 0
+    assert line.select("__slice").distinct().count() > 400

@@ -51,71 +51,110 @@ def centres(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray
     return c
 
 
-def pruned(x: np.ndarray, node: int, near: np.ndarray, degree: int, alpha: float) -> list[int]:
-    """Out-edges of a node: the nearest candidate, then the nearest of those
-    that are not ``alpha`` times nearer to one already taken."""
-    out, left = [], near[near != node]
-    apart = 2 - 2 * (x[left] @ x[node])
-    order = np.argsort(apart, kind="stable")
-    left, apart = left[order], apart[order]
-    while len(left) and len(out) < degree:
-        best = left[0]
-        out.append(int(best))
-        covered = alpha * alpha * (2 - 2 * (x[left] @ x[best])) <= apart
-        covered[0] = True
-        left, apart = left[~covered], apart[~covered]
+def pruned(x: np.ndarray, nodes: np.ndarray, near: np.ndarray, degree: int, alpha: float) -> np.ndarray:
+    """Out-edges of some nodes: the nearest candidate, then the nearest of those
+    that are not ``alpha`` times nearer to one already taken. A row of ``near``
+    for each node; the node itself in it, or as an edge, stands for none."""
+    out = np.repeat(nodes[:, None], degree, axis=1)
+    around = x[near]
+    apart = 2 - 2 * (around @ x[nodes][:, :, None])[:, :, 0]
+    apart[near == nodes[:, None]] = np.inf
+    order = np.argsort(apart, axis=1, kind="stable")
+    near, apart = np.take_along_axis(near, order, 1), np.take_along_axis(apart, order, 1)
+    around = np.take_along_axis(around, order[:, :, None], 1)
+    left, row = np.isfinite(apart), np.arange(len(nodes))
+    for k in range(degree):
+        some = left[row].any(axis=1)
+        row = row[some]
+        if not len(row):
+            break
+        if not some.all():
+            around, apart = around[some], apart[some]
+        best = left[row].argmax(axis=1)
+        taken = near[row, best]
+        out[row, k] = taken
+        covered = alpha * alpha * (2 - 2 * (around @ x[taken][:, :, None])[:, :, 0]) <= apart
+        covered[np.arange(len(row)), best] = True
+        left[row] &= ~covered
     return out
 
 
-def flat_graph(x: np.ndarray, degree: int = 24, alpha: float = 1.2, candidates: int = 64, rows: int = 256) -> list[list[int]]:
-    """Adjacency lists of a shard. Candidates of a node are its nearest and a
-    few far ones; edges go both ways, pruned. Some far edges are kept whatever
-    the near ones are, so that a large group of near copies is not cut off."""
+def _rows(size: np.ndarray, fill: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Lists of some sizes, one after the other, as rows filled up to the longest."""
+    out = np.repeat(fill[:, None], max(1, size.max(initial=0)), axis=1)
+    row = np.repeat(np.arange(len(size)), size)
+    out[row, np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)] = values
+    return out
+
+
+def flat_graph(x: np.ndarray, degree: int = 24, alpha: float = 1.2, candidates: int = 64, rows: int = 256) -> np.ndarray:
+    """Adjacency lists of a shard, a row for each node, filled up with the node
+    itself. Candidates of a node are its nearest and a few far ones; edges go
+    both ways, pruned. Some far edges are kept whatever the near ones are, so
+    that a large group of near copies is not cut off."""
     n = len(x)
-    spread: list[set[int]] = [set() for _ in range(n)]
-    rng = np.random.default_rng(n)
-    edges: list[set[int]] = [set() for _ in range(n)]
+    far = np.random.default_rng(n).integers(0, n, (n, 8))
+    near = np.empty((n, degree), np.int64)
+    take = min(candidates, n)
     for a in range(0, n, rows):
-        alike = x[a : a + rows] @ x.T
-        take = min(candidates, n)
-        near = np.argpartition(-alike, take - 1, axis=1)[:, :take]
-        for k in range(len(alike)):
-            far = rng.integers(0, n, 8)
-            spread[a + k].update(int(j) for j in far[:4] if j != a + k)
-            edges[a + k].update(pruned(x, a + k, np.unique(np.concatenate((near[k], far))), degree, alpha))
-    for node in range(n):
-        for other in list(edges[node]):
-            edges[other].add(node)
-    near = [pruned(x, k, np.array(sorted(e)), 2 * degree, alpha) if len(e) > 2 * degree else e for k, e in enumerate(edges)]
-    return [sorted(spread[k].union(e)) for k, e in enumerate(near)]
-
-
-def in_range(x: np.ndarray, edges: list[np.ndarray], start: np.ndarray, query: np.ndarray, bound: float, beam: int = 32) -> np.ndarray:
-    """Nodes whose product with the query is at least ``bound``: greedy search
-    from the nodes ``start`` with a beam, which then takes in all that lies in range."""
-    seen = np.zeros(len(x), bool)
-    seen[start] = True
-    ids, score = start, x[start] @ query
-    order = np.argsort(-score, kind="stable")
-    ids, score, open_ = ids[order], score[order], np.ones(len(order), bool)
-    while open_.any():
-        # All open nodes in range at once, else the best open one of the beam.
-        todo = np.flatnonzero(open_ & (score >= bound))
-        if not len(todo):
-            todo = np.flatnonzero(open_)[:1]
-        open_[todo] = False
-        new = np.unique(np.concatenate([edges[ids[t]] for t in todo]))
-        new = new[~seen[new]]
-        if not len(new):
-            continue
-        seen[new] = True
-        ids, score = np.concatenate((ids, new)), np.concatenate((score, x[new] @ query))
-        open_ = np.concatenate((open_, np.ones(len(new), bool)))
-        order = np.argsort(-score, kind="stable")
-        stay = max(beam, int((score >= bound).sum()))
-        order = order[:stay]
-        ids, score, open_ = ids[order], score[order], open_[order]
-    return ids[score >= bound]
+        nodes = np.arange(a, min(a + rows, n))
+        some = np.argpartition(-(x[nodes] @ x.T), take - 1, axis=1)[:, :take]
+        some = np.sort(np.concatenate((some, far[nodes]), axis=1), axis=1)
+        some[:, 1:] = np.where(some[:, 1:] == some[:, :-1], nodes[:, None], some[:, 1:])
+        near[nodes] = pruned(x, nodes, some, degree, alpha)
+    nodes = np.arange(n)
+    both = np.unique(np.concatenate((np.repeat(nodes, degree) * n + near.ravel(), near.ravel() * n + np.repeat(nodes, degree))))
+    size = np.bincount(both // n, minlength=n)
+    first = np.cumsum(size) - size
+    wide, lists = np.flatnonzero(size > 2 * degree), {}
+    # Nodes of like numbers of edges together, and few of those with many.
+    wide = wide[np.argsort(size[wide], kind="stable")]
+    while len(wide):
+        some = wide[-max(1, rows * candidates // int(size[wide[-1]])) :]
+        wide = wide[: -len(some)]
+        values = np.concatenate([both[first[k] : first[k] + size[k]] % n for k in some])
+        lists |= dict(zip(some.tolist(), pruned(x, some, _rows(size[some], some, values), 2 * degree, alpha)))
+    edges = np.concatenate([lists[k] if k in lists else both[first[k] : first[k] + size[k]] % n for k in range(n)])
+    edges = _rows(np.where(size > 2 * degree, 2 * degree, size), nodes, edges)
+    return np.concatenate((edges, far[:, :4]), axis=1)
+
+
+def in_range(x: np.ndarray, edges: np.ndarray, start: np.ndarray, query: np.ndarray, bound: float, beam: int = 32, step: int = 8, at_once: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node) for nodes whose product with a query is at least ``bound``.
+    Greedy searches from the nodes ``start``, side by side, each with a beam
+    of which the best ``step`` go on at once, and all that lies in range. Of
+    both, at most ``at_once`` nodes are looked around in a round."""
+    m, n = len(query), len(x)
+    seen, tag = np.zeros(m * n, bool), np.empty(m * n, np.int32)
+    ids, score, open_ = np.zeros((m, beam), np.int64), np.full((m, beam), -np.inf, x.dtype), np.zeros((m, beam), bool)
+    hits, todo = [], (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    who, node = np.repeat(np.arange(m), start.shape[1]), start.ravel()
+    while len(who):
+        new = np.flatnonzero(~seen[who * n + node])
+        place = who[new] * n + node[new]
+        tag[place] = np.arange(len(place))
+        new = new[tag[place] == np.arange(len(place))]
+        who, node = who[new], node[new]
+        seen[who * n + node] = True
+        alike = np.einsum("ij,ij->i", x[node], query[who])
+        hit = alike >= bound
+        hits.append((who[hit], node[hit]))
+        if len(who):
+            # What lies in range is closed in the beam and goes on by itself.
+            told = _rows(np.bincount(who, minlength=m), np.full(m, -1), np.arange(len(who)))
+            ids = np.concatenate((ids, node[told]), axis=1)
+            score = np.concatenate((score, np.where(told >= 0, alike[told], -np.inf)), axis=1)
+            open_ = np.concatenate((open_, (told >= 0) & ~hit[told]), axis=1)
+            best = np.argpartition(-score, beam - 1, axis=1)[:, :beam]
+            ids, score, open_ = (np.take_along_axis(v, best, 1) for v in (ids, score, open_))
+        best = np.argpartition(np.where(open_, -score, np.inf), step - 1, axis=1)[:, :step]
+        row, k = np.nonzero(np.take_along_axis(open_, best, 1))
+        open_[row, best[row, k]] = False
+        from_, at = np.concatenate((row, todo[0], who[hit])), np.concatenate((ids[row, best[row, k]], todo[1], node[hit]))
+        todo = from_[at_once:], at[at_once:]
+        order = np.argsort(from_[:at_once], kind="stable")
+        who, node = np.repeat(from_[order], edges.shape[1]), edges[at[order]].ravel()
+    return np.concatenate([w for w, _ in hits]), np.concatenate([v for _, v in hits])
 
 
 def _vectors(column) -> np.ndarray:
@@ -128,23 +167,30 @@ def exact_pairs(x: np.ndarray, y: np.ndarray, bound: float, rows: int = 512) ->
     return np.concatenate([i + k * rows for k, (i, _) in enumerate(found)]), np.concatenate([j for _, j in found])
 
 
-def graph_pairs(x: np.ndarray, bound: float, least: float = 0.999, audited: int = 64) -> tuple[np.ndarray, np.ndarray]:
+def graph_pairs(x: np.ndarray, bound: float, least: float = 0.999, audited: int = 64, rows: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """Pairs i < j of a part, by its graph. Each vector is looked up from its
     own node, the medoid and spread ones. Spread queries are compared with all
     of the part; where the share found is below ``least``, all are."""
     n = len(x)
-    edges = [np.array(e, np.int64) for e in flat_graph(x)]
+    # Single precision finds the way; what is found is verified in double.
+    rough = x.astype(np.float32)
+    edges = flat_graph(rough)
     entries = np.append(np.linspace(0, n - 1, min(n, 4)).astype(np.int64), (x @ x.mean(axis=0)).argmax())
-    near = []
-    for k in range(n):
-        own = in_range(x, edges, np.unique(np.append(entries, k)), x[k], bound - WIDER)
-        near.append(own[(x[own] @ x[k] >= bound) & (own != k)])
+    found = []
+    for a in range(0, n, rows):
+        own = np.arange(a, min(a + rows, n))
+        start = np.concatenate((own[:, None], np.repeat(entries[None], len(own), axis=0)), axis=1)
+        i, j = in_range(rough, edges, start, rough[own], bound - WIDER)
+        i = own[i]
+        # Verified in blocks, so that large groups are not copied whole.
+        use = np.concatenate([np.einsum("ij,ij->i", x[i[k : k + 65536]], x[j[k : k + 65536]]) >= bound for k in range(0, len(i), 65536)]) & (i != j)
+        found.append((i[use], j[use]))
+    i, j = (np.concatenate(v) for v in zip(*found))
     some = np.unique(np.linspace(0, n - 1, min(n, max(audited, n // 100))).astype(np.int64))
     true = int((x[some] @ x.T >= bound).sum()) - len(some)
-    if sum(len(near[k]) for k in some) < least * true:
+    if np.isin(i, some).sum() < least * true:
         i, j = exact_pairs(x, x, bound)
     else:
-        i, j = np.repeat(np.arange(n), [len(e) for e in near]), np.concatenate(near)
         i, j = np.concatenate((i, j)), np.concatenate((j, i))
     both = np.unique(i[i < j] * n + j[i < j])
     return both // n, both % n

@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from ledgersift.llm import vectors
 from ledgersift.llm.vectors import dedup_vectors, graph_pairs, unit
 
 
@@ -27,3 +28,33 @@ def test_a_group_larger_than_a_shard(spark):
     found = {r.vec_id: r.n_links for r in dedup_vectors(table, shard_rows=40, least_recall=1.0).collect()}
     ids = [r[0] for r in rows]
     assert [found[i] for i in ids] == [int(alike[k].sum()) - 1 for k in range(len(ids))]
+
+
+def test_vectors_of_a_part_are_looked_up_side_by_side(monkeypatch):
+    """By the graph alone, some hundred vectors a search: one by one they took
+    most of the operator's time."""
+    rng = np.random.default_rng(6)
+    x = groups(6, [300, 40] + [1] * 500)
+    x = unit(np.concatenate((x, x[340:] + rng.normal(0, 0.008, (500, 64)))).tolist())
+    a, b = np.nonzero(np.triu(x @ x.T >= 0.98, 1))
+    calls, search = [], vectors.in_range
+
+    def spy(*args):
+        calls.append(1)
+        return search(*args)
+
+    def never(*_):
+        raise AssertionError("compared without the graph")
+
+    monkeypatch.setattr(vectors, "in_range", spy)
+    monkeypatch.setattr(vectors, "exact_pairs", never)
+    i, j = graph_pairs(x, 0.98)
+    assert sorted(zip(i.tolist(), j.tolist())) == list(zip(a.tolist(), b.tolist()))
+    assert len(calls) < len(x) / 100
+
+
+def test_a_round_of_few_nodes_finds_the_same():
+    x = groups(7, [200, 30] + [1] * 100)
+    edges, start = vectors.flat_graph(x), np.arange(len(x))[:, None]
+    whole, cut = (set(zip(*(v.tolist() for v in vectors.in_range(x, edges, start, x, 0.9, at_once=k)))) for k in (8192, 300))
+    assert whole >= set(zip(*(v.tolist() for v in np.nonzero(x @ x.T >= 0.98)))) and whole == cut

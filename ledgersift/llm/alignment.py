@@ -1,8 +1,8 @@
 """Tokens of two tokenizers over the same texts, aligned by byte.
 
 Both encode a text; running sums of their tokens' lengths give where each
-token ends. Dictionaries from end to index are intersected as sets; the sorted
-common ends slice both lists of ids into groups, and within each slice the
+token ends. Both sets of ends are intersected; the sorted common ends slice
+both lists of ids into groups, and within each slice the
 tokens that share a byte are linked. Counts of linked ids over the corpus are
 then brought back to every document.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from ledgersift.llm.wordpiece import VOCABULARY, byte_letters
 
 SPACE = re.compile(r"(?<=\w) (?=\w)")
 LONG = 1 << 16  # letters of text encoded in one piece, where it can be cut
-AT_ONCE = 1 << 17  # bytes of text aligned at once: their dictionaries are small
+AT_ONCE = 1 << 17  # bytes of text aligned at once: their sets of ends are small
 # How byte-level vocabularies part a text, and letters whose kind
 # (letter, number, space or other) all versions of Unicode agree on.
 PARTS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -106,11 +106,9 @@ def _merges(path: str) -> list[tuple[str, str]]:
 def slices(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ends that both lists have, and how many tokens of each list end there
     or before."""
-    index_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1), strict=True))
-    index_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1), strict=True))
-    common = sorted(index_a.keys() & index_b.keys())
-    n = len(common)
-    return (np.array(common, np.int64), np.fromiter(map(index_a.__getitem__, common), np.int64, n), np.fromiter(map(index_b.__getitem__, common), np.int64, n))
+    common = set(ends_a.tolist()) & set(ends_b.tolist())
+    common = np.sort(np.fromiter(common, np.int64, len(common)))
+    return common, np.searchsorted(ends_a, common, "right"), np.searchsorted(ends_b, common, "right")
 
 
 def links(ends_a, ends_b, cut_a, cut_b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,7 +149,7 @@ def _aligned(e: Encoders, texts: list[str | None], ids: bool) -> dict[str, pa.Ar
     """Columns of ``align`` for some texts, worked on as one sequence."""
     lists_a, lists_b = e(texts)
     n_a, n_b = (np.array(list(map(len, x)), np.int64) for x in (lists_a, lists_b))
-    a, b = (np.array([i for own in x for i in own], np.int64) for x in (lists_a, lists_b))
+    a, b = (np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in ((lists_a, n_a), (lists_b, n_b)))
     ends_a, ends_b = np.cumsum(e.length_a[a]), np.cumsum(e.length_b[b])
     common, cut_a, cut_b = slices(ends_a, ends_b)
     to_a, to_b, size = links(ends_a, ends_b, cut_a, cut_b)
@@ -173,20 +171,20 @@ def _aligned(e: Encoders, texts: list[str | None], ids: bool) -> dict[str, pa.Ar
     written = ["".join(words[x:y].tolist())[:-1] for x, y in pairwise(at)]
 
     # Distinct pairs of every text, and how often it has them.
-    pair = (a[to_a] << 32) | b[to_b]
-    who = np.repeat(np.arange(len(texts)), n_links)
-    order = np.lexsort((pair, who))
-    pair, who = pair[order], who[order]
-    new = np.flatnonzero(np.concatenate(([True], (pair[1:] != pair[:-1]) | (who[1:] != who[:-1]))) if len(pair) else np.zeros(0, bool))
-    distinct = np.bincount(who[new], minlength=len(texts))
+    # In one number, which needs no order of places to be sorted.
+    kinds_a, kinds_b = len(e.length_a), len(e.length_b)
+    pair = np.sort((np.repeat(np.arange(len(texts)), n_links) * kinds_a + a[to_a]) * kinds_b + b[to_b])
+    new = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, bool))
+    who, link_a = np.divmod(pair[new] // kinds_b, kinds_a)
+    distinct = np.bincount(who, minlength=len(texts))
     out = {
         "n_a": pa.array(n_a),
         "n_b": pa.array(n_b),
         "n_groups": pa.array(n_groups),
         "n_links": pa.array(n_links),
         "token_groups": pa.array(written, pa.string()),
-        "link_a": _lists(pair[new] >> 32, distinct),
-        "link_b": _lists(pair[new] & 0xFFFFFFFF, distinct),
+        "link_a": _lists(link_a, distinct),
+        "link_b": _lists(pair[new] % kinds_b, distinct),
         "link_n": _lists(np.diff(np.append(new, len(pair))), distinct),
     }
     return out | ({"a_ids": _lists(a, n_a), "b_ids": _lists(b, n_b)} if ids else {})

@@ -175,7 +175,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, text_col: str = "text
     """Train on a sample of labelled rows for which ``learn``, a condition on
     the labels' columns, holds: at most about ``sample_docs`` of each label,
     drawn by a hash of the id, of ``sample_bytes`` together; texts longer than
-    a sixteenth of that are not drawn.
+    a sixteenth of that are not drawn. Half of the bytes are each label's own;
+    what one has no rows for goes to the other, so that a rare label is not
+    thinned for the sake of a common one.
 
     Labels other than 0 and 1, and null ids, are not used; of several labels
     of an id the highest counts, of several texts the least.
@@ -187,9 +189,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, text_col: str = "text
     drawn = told.where(draw("rows") < F.when(F.col("_toxic") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0)))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).where(F.octet_length("_text") <= sample_bytes // 16)
     rows = texts.join(few(drawn), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.max("_toxic").alias("_toxic"))
-    whole = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    if whole > sample_bytes:
-        rows = rows.where(draw("bytes") < sample_bytes / whole)
+    whole = {r[0]: r[1] for r in rows.groupBy("_toxic").agg(F.sum(F.octet_length("_text"))).collect()}
+    room = {k: max(sample_bytes / 2, sample_bytes - whole.get(1 - k, 0)) / max(n, 1) for k, n in whole.items()}
+    rows = rows.where(draw("bytes") < F.when(F.col("_toxic") == 1, room.get(1, 0.0)).otherwise(room.get(0, 0.0)))
     got = sorted(zip(*(c.to_pylist() for c in rows.select("_id", "_text", "_toxic").toArrow().columns), strict=True))
     return train([t for _, t, _ in got], np.array([x for *_, x in got]))
 

@@ -112,3 +112,24 @@ def test_fit_on_odd_labels(spark):
     assert model.odds().any()
     assert not X.fit(docs, told.limit(0), F.lit(True)).odds().any()
     assert not X.fit(docs.limit(0), told, F.lit(True)).odds().any()
+
+
+def test_bytes_are_shared_by_label(spark, monkeypatch):
+    drawn = []
+    monkeypatch.setattr(X, "train", lambda texts, toxic: drawn.append((texts, toxic)))
+    from pyspark.sql import functions as F
+
+    def fit(n, toxic_bytes, clean_bytes):
+        docs = spark.createDataFrame([(k, "x" * (toxic_bytes if k < 40 else clean_bytes)) for k in range(n)], "doc_id long, text string")
+        X.fit(docs, docs.select("doc_id", (F.col("doc_id") < 40).cast("int").alias("toxic")), F.lit(True), sample_bytes=20000)
+        texts, toxic = drawn.pop()
+        sizes = np.array([len(x) for x in texts])
+        return toxic.sum(), (toxic == 0).sum(), sizes[toxic == 1].sum(), sizes[toxic == 0].sum()
+
+    toxic, _, rare, common = fit(440, 50, 200)  # the rare label's 2,000 bytes stay, the other gets the rest
+    assert toxic == 40 and rare == 2000 and 12000 < common < 24000
+    _, clean, common, rare = fit(60, 1000, 100)
+    assert clean == 20 and rare == 2000 and 12000 < common < 24000
+    _, _, left, right = fit(440, 1000, 100)  # 40,000 bytes each: half each
+    assert 5000 < left < 15000 and 5000 < right < 15000
+    assert fit(60, 100, 100)[:2] == (40, 20)  # all fits
